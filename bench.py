@@ -35,6 +35,8 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{CPUS}]", spark__sql__shuffle__partitions=CPUS,
         spark__driver__memory="16g", spark__ui__enabled="false",
+        # one host: reading shuffles "locally" only ties a join to the one task that scanned the file
+        spark__sql__adaptive__localShuffleReader__enabled="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
     # start-up and code loading are not part of any query

@@ -236,25 +236,27 @@ def institution_theta_join(spark, sf_dir):
 
 
 def _written_reports(spark, sf_dir):
+    """A folder with three report files, and their schemas. Years are doubles, as in a file whose
+    years may be missing."""
     tables = portal_tables(spark, sf_dir)
     subscriptions = clean.subscription(tables, PORTAL_CHECK)
-    users = clean.usage_subscription(clean.usage(tables, PORTAL_CHECK), subscriptions)
-    folder = scratch_path(spark, "input_csv")
-    csv.write_pipe_csv(users, f"{folder}/{plan.USERS}")
-    csv.write_pipe_csv(metrics.subscribers_per_status(subscriptions), f"{folder}/{plan.PER_STATUS}")
-    csv.write_pipe_csv(
-        metrics.subscribers_per_create_year(subscriptions).withColumn(
+    frames = {
+        plan.USERS: clean.usage_subscription(clean.usage(tables, PORTAL_CHECK), subscriptions),
+        plan.PER_STATUS: metrics.subscribers_per_status(subscriptions),
+        plan.PER_CREATE_YEAR: metrics.subscribers_per_create_year(subscriptions).withColumn(
             "date_create_year", F.col("date_create_year").cast("double")
         ),
-        f"{folder}/{plan.PER_CREATE_YEAR}",
-    )
-    return folder
+    }
+    folder = scratch_path(spark, "input_csv")
+    for name, frame in frames.items():
+        csv.write_pipe_csv(frame, f"{folder}/{name}")
+    return folder, {name: frame.schema for name, frame in frames.items()}
 
 
 def _report_blocks(spark, sf_dir):
-    tables = portal_tables(spark, sf_dir)
-    names = search.distinct_names(tables.institution, "institution_name")
-    return reports.report_blocks(csv.read_pipe_folder(spark, _written_reports(spark, sf_dir)), names)
+    names = search.distinct_names(portal_tables(spark, sf_dir).institution, "institution_name")
+    files = csv.read_pipe_folder(spark, *_written_reports(spark, sf_dir))
+    return reports.report_blocks(files, names)
 
 
 @query
@@ -271,7 +273,7 @@ def report_pages(spark, sf_dir):
 @query
 def folder_scan(spark, sf_dir):
     """Rows per file and header layout of a scanned report folder"""
-    scanned, _ = csv.scan_pipe_folder(spark, _written_reports(spark, sf_dir))
+    scanned, _ = csv.scan_pipe_folder(spark, _written_reports(spark, sf_dir)[0])
     return scanned.groupBy("file").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("user_name").alias("n_user_names"),
@@ -281,13 +283,9 @@ def folder_scan(spark, sf_dir):
 
 @query
 def bar_chart_frames(spark, sf_dir):
-    tables = portal_tables(spark, sf_dir)
-    usage, lines = clean.usage(tables, PORTAL_CHECK), clean.usage_lines(tables, PORTAL_CHECK)
-    return reports.bar_chart_frames(
-        metrics.codes_per_institution_month(usage),
-        metrics.users_per_institution_month(lines),
-        metrics.codes_per_institution_database_year(usage),
-    )
+    # one shuffle of distinct lines feeds all three
+    found = plan.usage_metrics(_usage(spark, sf_dir))
+    return reports.bar_chart_frames(found.laboratory, found.user, found.database)
 
 
 # --- Sources and sinks: written to a new folder, read back ---

@@ -141,15 +141,15 @@ def subscription(tables: PortalTables, profile: Profile) -> DataFrame:
         "user_id",
         dates.epoch_date("created_s").alias("date_created"),
         dates.epoch_date("access_s").alias("date_last_access"),
-    ).distinct()
+    )
     names = tables.institution.where(
         F.col("institution_name").isNotNull()
         & _not_in("institution_name", profile.excluded_subscriber_institutions)
-    ).select("institution_id", "institution_name").distinct()
-    memberships = tables.account_institution.select("user_id", "institution_id").distinct()
-    statuses = tables.account_status.select("user_id", "status").distinct()
+    ).select("institution_id", "institution_name")
+    memberships = tables.account_institution.select("user_id", "institution_id")
+    statuses = tables.account_status.select("user_id", "status")
 
-    rows = lookup_join(memberships, names, "institution_id", keys=tables.account_institution)
+    rows = lookup_join(memberships, names, "institution_id", keys=memberships)
     # a user has few memberships and one account: no hot keys below
     rows = lookup_join(rows, accounts, "user_id")
     rows = lookup_join(rows, statuses, "user_id", "left")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 #: keys holding more than this share of the large side are spread over many tasks
-HOT_SHARE = 0.01
+HOT_SHARE = 0.001
 
 _SALT = "__salt"
 _HOT = "__hot"

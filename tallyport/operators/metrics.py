@@ -193,8 +193,10 @@ def month_by_year_pivot(
     if years is None:
         found = active_years(monthly).orderBy("year").collect()
         years = [row["year"] for row in found]
-    spark = monthly.sparkSession
-    calendar = spark.createDataFrame(list(enumerate(MONTHS, start=1)), "month int, month2 string")
+    month = F.col("id").cast("int")
+    calendar = monthly.sparkSession.range(1, len(MONTHS) + 1, numPartitions=1).select(
+        month.alias("month"), labels.month_name(month).alias("month2")
+    )
     pivoted = monthly.groupBy("month2").pivot("year", list(years)).agg(F.sum(value))
     # at most twelve rows on either side
     filled = calendar.join(F.broadcast(pivoted), "month2", "left")

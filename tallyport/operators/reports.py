@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyport.config import REPORT_COLUMNS
 from tallyport.functions import dates, labels, text
 from tallyport.operators.metrics import positive_codes
 from tallyport.operators.paging import paged_rows
-from tallyport.operators.search import contains_join, keep_listed_columns
+from tallyport.operators.search import Needles, contains_join, keep_listed_columns, prepare_names
+from tallyport.session import cut_lineage
 
 
 # --- Pages -------------------------------------------------------------------------------------
 
+def _all_whole(column: str) -> Column:
+    value = F.col(column)
+    whole = (value == F.floor(value)) & (F.abs(value) < F.lit(2.0**63))
+    return F.coalesce(F.bool_and(whole), F.lit(True))
+
+
 def whole_doubles_to_bigint(df: DataFrame) -> DataFrame:
     """Double columns that hold whole numbers only become bigint, so 2022.0 reads 2022.
 
@@ -24,15 +32,26 @@ def whole_doubles_to_bigint(df: DataFrame) -> DataFrame:
     doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
     if not doubles:
         return df
-    tests = df.agg(*[
-        F.coalesce(
-            F.bool_and((F.col(c) == F.floor(c)) & (F.abs(c) < F.lit(2.0**63))), F.lit(True)
-        ).alias(c)
-        for c in doubles
-    ]).first()
+    tests = df.agg(*[_all_whole(c).alias(c) for c in doubles]).first()
     return df.withColumns({c: F.col(c).cast("bigint") for c in doubles if tests[c]})
 
 
+def _whole_doubles_as_text(matched: DataFrame, needles: Needles) -> DataFrame:
+    """Double columns as text, without decimals where all values of an institution are whole."""
+    doubles = [f.name for f in matched.schema.fields if f.dataType.typeName() == "double"]
+    if not doubles:
+        return matched
+    matched = cut_lineage(matched)
+    whole = {c: f"__whole_{i}" for i, c in enumerate(doubles)}
+    # one row per institution
+    tests = matched.groupBy("institution").agg(*[_all_whole(c).alias(whole[c]) for c in doubles])
+    joined = matched.join(F.broadcast(tests) if needles.small else tests, "institution")
+    return joined.withColumns({
+        c: F.when(F.col(whole[c]), F.col(c).try_cast("bigint").cast("string")).otherwise(F.col(c).cast("string"))
+        for c in doubles
+    }).select(*matched.columns)
+
+
 def report_blocks(
     files: Mapping[str, DataFrame],
     names: DataFrame,
@@ -43,20 +62,20 @@ def report_blocks(
     Rows are cut to the columns ``shown`` for their file and made distinct before the search, so a
     log with many lines per user shrinks to its users first.
     """
-    blocks = None
+    if not files:
+        raise ValueError("no files to report on")
+    needles = prepare_names(names)
+    blocks = []
     for file, rows in sorted(files.items()):
         cut = keep_listed_columns(rows, shown[file] if file in shown else rows.columns)
-        kept = whole_doubles_to_bigint(contains_join(cut, names))
-        lines = kept.select(
+        kept = _whole_doubles_as_text(contains_join(cut, needles), needles)
+        blocks.append(kept.select(
             "institution",
             F.lit(file).alias("file"),
             text.header_text(cut.columns).alias("columns"),
             text.row_text(cut.columns).alias("line"),
-        )
-        blocks = lines if blocks is None else blocks.unionByName(lines)
-    if blocks is None:
-        raise ValueError("no files to report on")
-    return blocks
+        ))
+    return reduce(DataFrame.unionByName, blocks)
 
 
 def report_pages(blocks: DataFrame, page_size: int = 10) -> DataFrame:
@@ -80,14 +99,20 @@ def report_pages(blocks: DataFrame, page_size: int = 10) -> DataFrame:
 # --- Chart frames ------------------------------------------------------------------------------
 
 def bar_chart_frames(
-    codes_by_month: DataFrame, users_by_month: DataFrame, codes_by_database: DataFrame
+    codes_by_month: DataFrame,
+    users_by_month: DataFrame,
+    codes_by_database: DataFrame,
+    positive_only: bool = True,
 ) -> DataFrame:
     """Bars of the three charts of every institution and year, with axis step and limit.
 
-    ``position`` is the month number for charts by month, else NULL. Codes charts keep positive
-    volumes only.
+    ``position`` is the month number for charts by month, else NULL. With ``positive_only`` the
+    codes charts leave out bars without volume.
     """
-    def bars(frame: DataFrame, chart: str, position, x: str, y: str) -> DataFrame:
+    if positive_only:
+        codes_by_month, codes_by_database = map(positive_codes, (codes_by_month, codes_by_database))
+
+    def bars(frame: DataFrame, chart: str, position: Column, x: str, y: str) -> DataFrame:
         return frame.select(
             F.lit(chart).alias("chart"), "institution_name", "year",
             position.cast("int").alias("position"), F.col(x).alias("x"),
@@ -96,11 +121,9 @@ def bar_chart_frames(
 
     month, none = F.col("month"), F.lit(None)
     frames = (
-        bars(positive_codes(codes_by_month), "codes_per_month", month, "month2", "nb_codes")
+        bars(codes_by_month, "codes_per_month", month, "month2", "nb_codes")
         .unionByName(bars(users_by_month, "users_per_month", month, "month2", "nb_users"))
-        .unionByName(bars(
-            positive_codes(codes_by_database), "codes_per_database", none, "database_name2", "nb_codes"
-        ))
+        .unionByName(bars(codes_by_database, "codes_per_database", none, "database_name2", "nb_codes"))
     )
     # a chart has at most twelve months or as many bars as there are classes
     top = F.max("y").over(Window.partitionBy("chart", "institution_name", "year"))

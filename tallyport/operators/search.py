@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,43 +70,59 @@ def _anchors(needles: DataFrame) -> DataFrame:
     )
 
 
-def contains_join(
-    rows: DataFrame,
-    names: DataFrame,
-    columns: Sequence[str] | None = None,
-    limit: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """``rows`` with ``institution``, the normalized name found in a cell, once per name found.
+@dataclass(frozen=True)
+class Needles:
+    """Names ready to be searched for; made by ``prepare_names``."""
+
+    anchors: DataFrame
+    lengths: tuple[int, ...]
+    small: bool
+
+    def joined_to(self, df: DataFrame, on: str) -> DataFrame:
+        return df.join(F.broadcast(self.anchors) if self.small else self.anchors, on)
 
-    A substring join without comparing every row with every name. Each name has one anchor piece
-    that any text containing the name contains as well. A row offers its pieces, the anchors are
-    joined by equality, and the few candidates are checked in full. A row meets each name at most
-    once, as its pieces are distinct and a name has a single anchor.
 
-    ``names`` has a column ``institution_name``; blank names are left out. ``columns`` limits which
-    cells are searched. The anchors are computed and measured first, as ``names`` often comes from a
-    large log: they are broadcast if they are within ``limit`` and shuffled otherwise.
+def prepare_names(names: DataFrame, limit: int = BROADCAST_BYTES) -> Needles:
+    """Normalized distinct names with their anchors, written down once and measured.
+
+    ``names`` has a column ``institution_name`` and often comes from a large log, so it is not
+    computed again for every search. Blank names are left out. The anchors are broadcast later only
+    if their measured size is within ``limit``.
     """
     needles = names.select(normalize_name("institution_name").alias("institution")).where(
         F.col("institution") != ""
     ).distinct()
     anchors = cut_lineage(_anchors(needles))
-    # lengths of anchors are at most PIECE numbers: short names have short anchors
+    # an anchor has at most PIECE characters, so there are at most PIECE lengths
     measured = anchors.agg(
         F.collect_set(F.char_length("piece")).alias("lengths"),
-        F.sum(F.octet_length("institution") + F.octet_length("piece") + 32).alias("bytes"),
+        F.coalesce(
+            F.sum(F.octet_length("institution") + F.octet_length("piece") + 32), F.lit(0)
+        ).alias("bytes"),
     ).first()
-    if not measured["lengths"]:
-        return rows.limit(0).withColumn("institution", F.lit(None).cast("string"))
-    if measured["bytes"] <= limit:
-        anchors = F.broadcast(anchors)
+    return Needles(anchors, tuple(sorted(measured["lengths"])), measured["bytes"] <= limit)
 
+
+def contains_join(
+    rows: DataFrame, names: DataFrame | Needles, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """``rows`` with ``institution``, the normalized name found in a cell, once per name found.
+
+    A substring join without comparing every row with every name. Each name has one anchor piece
+    that any text containing the name contains as well. A row offers its pieces, the anchors are
+    joined by equality, and the few candidates are checked in full. A row meets each name at most
+    once, as its pieces are distinct and a name has a single anchor. ``columns`` limits which cells
+    are searched.
+    """
+    needles = names if isinstance(names, Needles) else prepare_names(names)
+    if not needles.lengths:
+        return rows.limit(0).withColumn("institution", F.lit(None).cast("string"))
     cells = F.array_compact(F.array(*[normalize_name(c) for c in columns or rows.columns]))
     offered = F.array_distinct(F.flatten(F.concat(*[
-        F.transform("__cells", _pieces_of_length(n)) for n in sorted(measured["lengths"])
+        F.transform("__cells", _pieces_of_length(n)) for n in needles.lengths
     ])))
-    candidates = (
-        rows.withColumn("__cells", cells).withColumn("piece", F.explode(offered)).join(anchors, "piece")
+    candidates = needles.joined_to(
+        rows.withColumn("__cells", cells).withColumn("piece", F.explode(offered)), "piece"
     )
     confirmed = F.exists("__cells", lambda cell: F.contains(cell, F.col("institution")))
     return candidates.where(confirmed).select(*rows.columns, "institution")

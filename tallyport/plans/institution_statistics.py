@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyport.config import PORTAL, Profile
 from tallyport.operators import clean, metrics, reports
 from tallyport.operators.clean import PortalTables
+from tallyport.operators.search import distinct_names
 from tallyport.plans.selection import check_selection, selected
 from tallyport.sources.csv import read_pipe_folder, write_pipe_csv
 from tallyport.sources.snapshots import write_per_institution
@@ -54,19 +56,21 @@ def institution_statistics(
     out: str,
     profile: Profile = PORTAL,
     institutions: Sequence[str] | None = None,
+    strict: bool = False,
+    positive_only: bool = True,
 ) -> UsageMetrics:
     """Writes all tables, chart frames and pages below ``out``; returns the metrics.
 
     The log is cleaned once, for all institutions, and staged by year. ``institutions`` selects
-    whose charts and pages are written.
+    whose charts and pages are written. With ``strict``, unknown institutions and missing years are
+    errors instead of empty reports. ``positive_only`` is that of ``bar_chart_frames``.
     """
     out = out.rstrip("/")
     usage = stage(clean.usage(tables, replace(profile, institution=None)), f"{out}/staging/usage", "year")
     subscriptions = stage(clean.subscription(tables, profile), f"{out}/staging/subscription")
-    check_selection(
-        usage, subscriptions.withColumnRenamed("labo_name", "institution_name"),
-        institutions, profile.years,
-    )
+    if strict:
+        known = subscriptions.withColumnRenamed("labo_name", "institution_name")
+        check_selection(usage, known, institutions, profile.years)
 
     def write_sorted(df: DataFrame, path: str, keys: Sequence[str]) -> None:
         write_pipe_csv(metrics.sorted_nulls_last(df, keys), path)
@@ -74,11 +78,9 @@ def institution_statistics(
     write_sorted(subscriptions, f"{out}/{SUBSCRIPTIONS}", ["labo_name", "id_user"])
     write_sorted(clean.with_month_keys(usage), f"{out}/{USAGE}", ["institution_name", "year", "month"])
     pages_input = f"{out}/input_csv"
-    write_sorted(
-        clean.usage_subscription(usage, subscriptions, keys=usage),
-        f"{pages_input}/{USERS}", ["labo_name", "id_user"],
-    )
+    schemas = {}
     for frame, name, keys in (
+        (clean.usage_subscription(usage, subscriptions, keys=usage), USERS, ["labo_name", "id_user"]),
         (metrics.subscribers_per_status(subscriptions), PER_STATUS, ["labo_name", "statut"]),
         (metrics.subscribers_per_create_year(subscriptions), PER_CREATE_YEAR,
          ["labo_name", "date_create_year", "statut"]),
@@ -86,17 +88,32 @@ def institution_statistics(
          ["labo_name", "date_last_access_year", "statut"]),
     ):
         write_sorted(frame, f"{pages_input}/{name}", keys)
+        schemas[name] = frame.schema
 
     found = usage_metrics(usage)
     reports.users_line_chart(found.all).write.mode("overwrite").parquet(f"{out}/charts/users_per_month")
     bars = reports.bar_chart_frames(*[
         selected(frame, institutions, profile.years)
         for frame in (found.laboratory, found.user, found.database)
-    ])
+    ], positive_only)
     write_per_institution(bars, f"{out}/charts/bars")
 
     names = metrics.positive_codes(found.laboratory).select("institution_name").distinct()
-    files = read_pipe_folder(tables.usage_log.sparkSession, pages_input)
+    files = read_pipe_folder(usage.sparkSession, pages_input, schemas)
     pages = reports.report_pages(reports.report_blocks(files, selected(names, institutions, None)))
     write_per_institution(pages, f"{out}/pages", "institution")
     return found
+
+
+def folder_report(
+    spark: SparkSession, folder: str, usage_log: DataFrame, institution: str | None = None
+) -> DataFrame:
+    """Report pages of a folder of ``|``-delimited files for every group name in the log.
+
+    ``institution`` asks for one institution instead, whether the log has it or not.
+    """
+    if institution is None:
+        names = distinct_names(usage_log, "group_name")
+    else:
+        names = spark.range(1).select(F.lit(institution).alias("institution_name"))
+    return reports.report_pages(reports.report_blocks(read_pipe_folder(spark, folder), names))

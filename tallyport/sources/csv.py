@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,10 +78,16 @@ def write_csv(df: DataFrame, path: str) -> str:
     return target
 
 
-def read_pipe_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The ``|``-delimited tables of a folder, by file name."""
+def read_pipe_folder(
+    spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType | str] | None = None
+) -> dict[str, DataFrame]:
+    """The ``|``-delimited tables of a folder, by file name.
+
+    A file without a schema in ``schemas`` is read once more to infer it.
+    """
+    known = schemas or {}
     names = [n for n in files.child_names(spark, folder) if n.endswith(".csv")]
-    return {n: read_pipe_csv(spark, f"{folder.rstrip('/')}/{n}") for n in names}
+    return {n: read_pipe_csv(spark, f"{folder.rstrip('/')}/{n}", known.get(n)) for n in names}
 
 
 def scan_pipe_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, str]]:

@@ -52,7 +52,18 @@ def test_institution_statistics(spark, tmp_path):
     assert pages.where(F.size("lines") > 10).count() == 0
     assert spark.read.parquet(f"{out}/charts/users_per_month").count() == found.all.count()
     with pytest.raises(ValueError):
-        statistics.institution_statistics(tables, out, replace(PORTAL_CHECK, years=(1997, 2050)))
+        statistics.institution_statistics(tables, out, replace(PORTAL_CHECK, years=(1997, 2050)), strict=True)
+
+
+def test_folder_report(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("name|n\nNation_1 x|1\nNATION_2|\nother|3\n")
+    log = portal_tables(spark, SF_DIR).usage_log
+    every = statistics.folder_report(spark, str(tmp_path), log)
+    assert sorted((r["title"], tuple(r["lines"])) for r in every.collect()) == [
+        ("nation_1 (1/1)", ("Nation_1 x | 1",)), ("nation_2 (1/1)", ("NATION_2 | ",)),
+    ]
+    one = statistics.folder_report(spark, str(tmp_path), log, " OTHER ")
+    assert [(r["title"], r["lines"]) for r in one.collect()] == [("other (1/1)", ["other | 3"])]
 
 
 def test_workbook(spark, tmp_path):

@@ -39,8 +39,8 @@ def cells():
 def test_contains_join_equals_brute_force(spark, rows, cells, limit):
     df = spark.createDataFrame(cells, "i int, a string, b string, d date")
     names = spark.createDataFrame([(n,) for n in NAMES], "institution_name string")
-    options = {} if limit is None else {"limit": limit}
-    assert rows(search.contains_join(df, names, **options)) == brute_force(cells, NAMES)
+    needles = names if limit is None else search.prepare_names(names, limit)
+    assert rows(search.contains_join(df, needles)) == brute_force(cells, NAMES)
 
 
 def test_contains_join_in_long_texts(spark, rows):
@@ -129,18 +129,23 @@ def test_report_blocks(spark, rows):
     day = dt.date(2020, 1, 1)
     files = {
         users: spark.createDataFrame(
-            [(1, "n", "Alpha ", None, day, day, 5), (1, "n", "Alpha ", None, day, day, 6), (2, "m", "x", "alpha", day, day, 7)],
+            [(1, "n", "Alpha ", None, day, day, 5), (1, "n", "Alpha ", None, day, day, 6), (2, "m", "x", "alpha", day, day, 9)],
             "id_user int, user_name string, labo_name string, statut string, date_last_access date, date_created date, nb_codes int",
         ),
-        "other.csv": spark.createDataFrame([("beta alpha", 2022.0), ("zeta", 2021.0)], "name string, year double"),
+        "other.csv": spark.createDataFrame(
+            [("beta alpha", 2022.0, 1.5), ("BETA", 2022.5, None), ("alpha", None, 2.0), ("zeta", 2021.25, 0.1)],
+            "name string, year double, x double",
+        ),
     }
-    names = spark.createDataFrame([("ALPHA",), ("beta",), ("5",)], "institution_name string")
+    names = spark.createDataFrame([("ALPHA",), ("beta",), ("9",)], "institution_name string")
     header = " | ".join(REPORT_COLUMNS[users])
     assert rows(reports.report_blocks(files, names)) == sorted([
         ("alpha", users, header, "1 | n | Alpha  |  | 2020-01-01 | 2020-01-01"),
         ("alpha", users, header, "2 | m | x | alpha | 2020-01-01 | 2020-01-01"),
-        ("alpha", "other.csv", "name | year", "beta alpha | 2022"),
-        ("beta", "other.csv", "name | year", "beta alpha | 2022"),
+        ("alpha", "other.csv", "name | year | x", "beta alpha | 2022 | 1.5"),
+        ("alpha", "other.csv", "name | year | x", "alpha |  | 2.0"),
+        ("beta", "other.csv", "name | year | x", "beta alpha | 2022.0 | 1.5"),
+        ("beta", "other.csv", "name | year | x", "BETA | 2022.5 | "),
     ], key=repr)
     with pytest.raises(ValueError):
         reports.report_blocks({}, names)
@@ -161,6 +166,7 @@ def test_bar_chart_frames(spark, rows):
         ("users_per_month", "A", 2021, 1, "January", 3, 10, 13.0),
         ("codes_per_database", "A", 2021, None, "ESG", 150, 100, 225.0),
     ], key=repr)
+    assert reports.bar_chart_frames(months, users, bases, positive_only=False).count() == 6
 
 
 def test_chart_orders(spark):
