@@ -13,7 +13,7 @@ from tallyport.functions import dates, labels, text
 from tallyport.operators import calendars, clean, metrics, quality, reports, runlogs, search
 from tallyport.plans import institution_statistics as plan
 from tallyport.plans.workbook import TABLES
-from tallyport.session import scratch_path
+from tallyport.session import cut_lineage, scratch_path
 from tallyport.sources import csv, queries as sql, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,7 +239,7 @@ def _written_reports(spark, sf_dir):
     """A folder with three report files, and their schemas. Years are doubles, as in a file whose
     years may be missing."""
     tables = portal_tables(spark, sf_dir)
-    subscriptions = clean.subscription(tables, PORTAL_CHECK)
+    subscriptions = cut_lineage(clean.subscription(tables, PORTAL_CHECK))
     frames = {
         plan.USERS: clean.usage_subscription(clean.usage(tables, PORTAL_CHECK), subscriptions),
         plan.PER_STATUS: metrics.subscribers_per_status(subscriptions),

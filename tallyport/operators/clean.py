@@ -150,9 +150,8 @@ def subscription(tables: PortalTables, profile: Profile) -> DataFrame:
     statuses = tables.account_status.select("user_id", "status")
 
     rows = lookup_join(memberships, names, "institution_id", keys=memberships)
-    # a user has few memberships and one account: no hot keys below
-    rows = lookup_join(rows, accounts, "user_id")
-    rows = lookup_join(rows, statuses, "user_id", "left")
+    # a user has few memberships, one account and few statuses, so there are no hot keys
+    rows = rows.join(accounts, "user_id").join(statuses, "user_id", "left")
     return rows.select(
         F.col("user_id").alias("id_user"),
         F.col("institution_name").alias("labo_name"),

@@ -45,7 +45,7 @@ def lookup_join(
     hot. Beyond it, hot keys are salted if ``keys``, a cheap source of the fact's keys such as the
     raw table, is given to find them in. Without it the join is left to adaptive execution, which
     knows the true sizes at run time: it still broadcasts what turns out small and splits skewed
-    partitions. That fits facts already aggregated by the key, which have no hot keys.
+    partitions.
     """
     if fits_broadcast(lookup, limit):
         return fact.join(F.broadcast(lookup), on, how)

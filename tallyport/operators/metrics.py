@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyport.config import MONTHS
 from tallyport.functions import labels
-from tallyport.operators.joins import drop_null_keys, lookup_join
+from tallyport.operators.joins import drop_null_keys
 
 
 def sorted_nulls_last(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -122,7 +122,7 @@ def _sum_or_zero(value: Column) -> Column:
 def _times_subscriptions(user_sums: DataFrame, subscriptions: DataFrame, keys: Sequence[str]) -> DataFrame:
     copies = subscriptions.groupBy("id_user").agg(F.count(F.lit(1)).alias("copies"))
     # few rows per user are left, so there are no hot keys
-    joined = lookup_join(user_sums, copies, "id_user", "left")
+    joined = user_sums.join(copies, "id_user", "left")
     weighted = F.col("codes") * F.coalesce(F.col("copies"), F.lit(1))
     return joined.groupBy(*keys).agg(_sum_or_zero(weighted))
 
@@ -161,7 +161,7 @@ def user_monthly_codes(usage_rows: DataFrame, subscriptions: DataFrame) -> DataF
         .groupBy("id_user", "statut").agg(F.count(F.lit(1)).alias("copies"))
     )
     weighted = F.col("codes") * F.col("copies")
-    joined = lookup_join(sums, per_status, "id_user")
+    joined = sums.join(per_status, "id_user")
     return joined.groupBy("user_full", "statut", *keys).agg(_sum_or_zero(weighted)).select(
         "user_full", "statut", "database_name", "year",
         labels.numbered_month_label("month").alias("month_full"),

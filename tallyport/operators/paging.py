@@ -16,7 +16,7 @@ def numbered_rows(df: DataFrame, block: Sequence[str], order: Sequence[str]) ->
     A window over the block would put a whole block into one task. Instead the rows are
     range-partitioned by block and order, which cuts a large block into several ranges. Rows are
     numbered inside each range and moved up by the sizes of the block's earlier ranges. The ranges
-    are written to the checkpoint folder first, so that a lost executor cannot change them.
+    are written down first, so that a lost executor cannot change them.
     """
     ranged = df.repartitionByRange(*[F.col(c) for c in (*block, *order)]).withColumn(
         "__range", F.spark_partition_id()

@@ -15,6 +15,8 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # call sites for error messages cost several round trips to the JVM per column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -34,15 +36,8 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where the cluster names none (a single-machine test) is a new temporary folder used.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (configured or tempfile.mkdtemp(prefix="run-", dir="/tmp")).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -51,8 +46,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from the written rows."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """Write ``df`` as a table in the shared folder and continue from the written rows.
+
+    Later steps read what was written, so a lost executor cannot change or repeat the work before.
+    """
+    path = scratch_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
