@@ -17,8 +17,13 @@ from tallyport.operators.joins import drop_null_keys
 
 
 def sorted_nulls_last(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Ascending sort by code point with missing values at the end."""
-    return df.orderBy(*[F.asc_nulls_last(k) for k in keys])
+    """Ascending sort by code point with missing values at the end.
+
+    The other columns break ties. This makes the order definite, and lets the sort split rows of one
+    key, such as a large institution's, over many tasks.
+    """
+    ties = [c for c in df.columns if c not in keys]
+    return df.orderBy(*[F.asc_nulls_last(c) for c in (*keys, *ties)])
 
 
 def _month_labels() -> list[Column]:

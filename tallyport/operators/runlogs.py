@@ -36,16 +36,22 @@ def error_digest(logs: DataFrame) -> DataFrame:
 
 
 def log_status(logs: DataFrame) -> DataFrame:
-    """ERROR with the first error text, or SUCCESS, per log."""
+    """ERROR with the first error text, or SUCCESS, per log.
+
+    The first error is looked for among error lines only: a minimum of text is found by sorting, and
+    whole logs need not be sorted for it.
+    """
     detail = F.regexp_extract("line", ERROR_DETAIL, 0)
-    found = logs.select("log_file", "position", F.when(detail != "", detail).alias("detail"))
-    summary = found.groupBy("log_file").agg(
-        F.count("detail").alias("n_errors"),
-        F.min(F.when(F.col("detail").isNotNull(), F.struct("position", "detail"))).getField("detail").alias("first"),
+    errors = logs.where(detail != "").groupBy("log_file").agg(
+        F.count(F.lit(1)).alias("n_errors"),
+        F.min(F.struct("position", detail.alias("detail"))).getField("detail").alias("first"),
     )
-    status = F.when(F.col("n_errors") > 0, F.lit("ERROR")).otherwise(F.lit("SUCCESS"))
+    summary = logs.select("log_file").distinct().join(errors, "log_file", "left")
+    failed = F.col("n_errors").isNotNull()
     return summary.select(
-        "log_file", status.alias("status"), "n_errors",
+        "log_file",
+        F.when(failed, F.lit("ERROR")).otherwise(F.lit("SUCCESS")).alias("status"),
+        F.coalesce("n_errors", F.lit(0)).alias("n_errors"),
         F.coalesce("first", F.concat(F.lit("SUCCESS - "), F.col("log_file"))).alias("details"),
     )
 

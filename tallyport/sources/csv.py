@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,18 +13,91 @@ from tallyport.sources import files
 
 SEPARATORS = (",", ";", "\t")
 
+# Texts that stand for a missing cell, and for a boolean.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+BOOLEANS = ("True", "TRUE", "true", "False", "FALSE", "false")
 
-def read_pipe_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """``|``-delimited UTF-8 file with header. With a schema the file is read once."""
-    reader = spark.read.option("sep", "|").option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
-
+_WHOLE = r"^\s*[+-]?\d+\s*$"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 # blanks at the ends of names and empty texts are written as they are
 _AS_IS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": ""}
 
 
+def _cell(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
+def _inferred_types(texts: DataFrame, whole_doubles: bool) -> dict[str, str]:
+    """bigint, double, boolean or string per column, the first that holds all values; one pass.
+
+    With ``whole_doubles``, a column of numbers such as 1.0 is whole.
+    """
+    def tests(name: str) -> dict[str, Column]:
+        text = _cell(name)
+        number = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+        whole = text.rlike(_WHOLE) & text.try_cast("bigint").isNotNull()
+        if whole_doubles:
+            whole = whole | ((number == F.floor(number)) & (F.abs(number) < F.lit(2.0**53)))
+        return {"bigint": whole, "double": number.isNotNull(), "boolean": text.isin(*BOOLEANS)}
+
+    # a missing cell has no say; a test that gives NULL for a present cell has failed
+    found = texts.agg(*[
+        F.bool_and(F.when(_cell(name).isNotNull(), F.coalesce(test, F.lit(False)))).alias(f"{kind}_{i}")
+        for i, name in enumerate(texts.columns) for kind, test in tests(name).items()
+    ]).first()
+    return {
+        name: next((kind for kind in ("bigint", "double", "boolean") if found[f"{kind}_{i}"]), "string")
+        for i, name in enumerate(texts.columns)
+    }
+
+
+def read_delimited(
+    spark: SparkSession,
+    paths: str | list[str],
+    sep: str,
+    schema: T.StructType | str | None = None,
+    whole_doubles: bool = False,
+) -> DataFrame:
+    """Rows of delimited files with a header.
+
+    Cells are read as text, missing ones become NULL, and the rest is cast, so a value that does not
+    fit its type is an error and not NULL. Without a schema the types are inferred from all values,
+    for which the files are read once more.
+    """
+    reader = spark.read.option("sep", sep).option("header", True)
+    types: dict[str, str] = {}
+    if schema is not None:
+        fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+        types = {f.name: f.dataType.simpleString() for f in fields}
+        reader = reader.schema(T.StructType([T.StructField(name, T.StringType()) for name in types]))
+    raw = reader.csv(paths)
+    if not raw.columns:
+        return raw
+    texts = raw.select(*[
+        F.when(~_cell(name).isin(*MISSING), _cell(name)).alias(name) for name in raw.columns
+    ])
+    if schema is not None:
+        return texts.select(*[_cell(name).cast(kind).alias(name) for name, kind in types.items()])
+
+    def typed(name: str, kind: str) -> Column:
+        text = _cell(name)
+        if kind == "bigint" and whole_doubles:
+            return F.coalesce(text.try_cast("bigint"), text.cast("double").cast("bigint"))
+        return text.cast(kind)
+
+    inferred = _inferred_types(texts, whole_doubles)
+    return texts.select(*[typed(name, kind).alias(name) for name, kind in inferred.items()])
+
+
+def read_pipe_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """``|``-delimited UTF-8 file with header"""
+    return read_delimited(spark, path, "|", schema)
+
+
 def write_pipe_csv(df: DataFrame, path: str) -> None:
     """``|``-delimited UTF-8 files with header; the order of rows is that of ``df``."""
     df.write.mode("overwrite").options(sep="|", header=True, **_AS_IS).csv(path)
@@ -37,16 +110,17 @@ def read_csv(
     sep: str = ",",
     schema: T.StructType | str | None = None,
 ) -> tuple[str, DataFrame]:
-    """(table name, rows) of a file delimited by comma, semicolon or tab."""
+    """(table name, rows) of a file delimited by comma, semicolon or tab.
+
+    Without a schema each column gets the narrowest of whole number, number, boolean and text.
+    """
     if not files.exists(spark, path):
         raise ValueError(f"Path {path} does not exist")
     if not table_name:
         raise ValueError("Table name is empty")
     if sep not in SEPARATORS:
         raise ValueError(f"Separator {sep} is not supported")
-    reader = spark.read.option("sep", sep).option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return table_name, reader.csv(path)
+    return table_name, read_delimited(spark, path, sep, schema, whole_doubles=True)
 
 
 def read_csv_folder(
@@ -61,14 +135,13 @@ def read_csv_folder(
         raise ValueError("Table name is not a string")
     if not pattern:
         raise ValueError("Pattern is empty")
-    names = files.matching_children(spark, folder, pattern) if files.exists(spark, folder) else None
-    if names is None:
+    if not files.exists(spark, folder):
         raise ValueError(f"Path {folder} does not exist")
+    names = files.matching_children(spark, folder, pattern)
     if not names:
         raise FileNotFoundError(f"No files found in {folder} with pattern {pattern}")
-    reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return table_name, reader.csv([f"{folder.rstrip('/')}/{n}" for n in names])
+    paths = [f"{folder.rstrip('/')}/{n}" for n in names]
+    return table_name, read_delimited(spark, paths, ",", schema, whole_doubles=True)
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -83,11 +156,13 @@ def read_pipe_folder(
 ) -> dict[str, DataFrame]:
     """The ``|``-delimited tables of a folder, by file name.
 
-    A file without a schema in ``schemas`` is read once more to infer it.
+    A file without a schema in ``schemas`` is read once more to infer it; one without a header is
+    left out.
     """
     known = schemas or {}
     names = [n for n in files.child_names(spark, folder) if n.endswith(".csv")]
-    return {n: read_pipe_csv(spark, f"{folder.rstrip('/')}/{n}", known.get(n)) for n in names}
+    tables = {n: read_pipe_csv(spark, f"{folder.rstrip('/')}/{n}", known.get(n)) for n in names}
+    return {n: table for n, table in tables.items() if table.columns}
 
 
 def scan_pipe_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, str]]:
@@ -121,7 +196,7 @@ def scan_pipe_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[
         rows = (
             spark.read.option("sep", "|").option("header", True).schema(schema)
             .csv([f"{folder.rstrip('/')}/{n}" for n in names])
-            .select(F.url_decode(below).alias("file"), "*")
+            .select(F.url_decode(F.replace(below, F.lit("+"), F.lit("%2B"))).alias("file"), "*")
         )
         scanned = rows if scanned is None else scanned.unionByName(rows, allowMissingColumns=True)
     return scanned, skipped

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyport.functions.text import folder_slug
 from tallyport.sources import files
-from tallyport.sources.csv import write_csv
+from tallyport.sources.csv import read_delimited, write_csv
 
 # How the dates in snapshot names look.
 FOLDER_DATE = r"(\d{4}-\d{2}-\d{2})$"
@@ -34,7 +34,7 @@ def load_table(
     target = path if path.endswith(".csv") else f"{path}.csv"
     if use_saved and files.has_rows_written(spark, target):
         schema = (spark.table(table) if isinstance(table, str) else table).schema
-        return spark.read.option("header", True).schema(schema).csv(target)
+        return read_delimited(spark, target, ",", schema)
     return extract_table(spark, table, target)
 
 

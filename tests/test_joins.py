@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyport.operators.joins import drop_null_keys, fits_broadcast, hot_keys, lookup_join, salted_join
+from tallyport.operators.metrics import sorted_nulls_last
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +27,12 @@ def test_all_ways_to_join_agree(skewed, lookup, rows, how):
     assert rows(lookup_join(skewed, lookup, "k", how, keys=skewed, limit=0)) == expected
 
 
+def test_salted_join_of_nothing(skewed, lookup):
+    assert salted_join(skewed.where("v < 0"), lookup, "k").count() == 0
+    assert salted_join(skewed.where("k IS NULL"), lookup, "k", "left").count() == skewed.where("k IS NULL").count()
+    assert salted_join(skewed, lookup.where("w < 0"), "k", "left").count() == 3000
+
+
 def test_hot_keys_are_found_and_bounded(skewed):
     found = {r["k"] for r in hot_keys(skewed, "k", 0.1).collect()}
     assert 7 in found and None not in found and len(found) <= 10
@@ -47,6 +54,17 @@ def test_hot_rows_are_spread(spark, skewed, lookup):
     assert plain >= 4000 and salted < plain * 0.6
 
 
+def test_rows_of_one_key_are_sorted_in_many_tasks(spark):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = sorted_nulls_last(spark.range(4000).select(F.lit("A").alias("institution"), "id"), ["institution"])
+        sizes = [r[1] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert max(sizes) < 2000
+
+
 def test_broadcast_only_within_the_limit(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(10000).write.parquet(path)

@@ -19,14 +19,14 @@ def test_pipe_csv_round_trip(spark, counts, rows, tmp_path):
     csv.write_pipe_csv(counts.coalesce(1), path)
     assert files.first_line(spark, path) == "labo_name|statut|nb_subscribers"
     assert rows(csv.read_pipe_csv(spark, path, SCHEMA)) == sorted(NAMES, key=repr)
-    assert dict(csv.read_pipe_csv(spark, path).dtypes)["nb_subscribers"] == "int"
+    assert dict(csv.read_pipe_csv(spark, path).dtypes)["nb_subscribers"] == "bigint"
 
 
 def test_read_csv(spark, rows, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text("a;b;c\n1;;x\n2;2.5;\n")
     name, df = csv.read_csv(spark, str(path), "t", ";")
-    assert name == "t" and df.dtypes == [("a", "int"), ("b", "double"), ("c", "string")]
+    assert name == "t" and df.dtypes == [("a", "bigint"), ("b", "double"), ("c", "string")]
     assert rows(df) == [(1, None, "x"), (2, 2.5, None)]
     for bad in (lambda: csv.read_csv(spark, str(path), ""), lambda: csv.read_csv(spark, str(path), "t", "|"),
                 lambda: csv.read_csv(spark, str(tmp_path / "no.csv"), "t")):
@@ -34,6 +34,27 @@ def test_read_csv(spark, rows, tmp_path):
             bad()
 
 
+def test_types_by_content(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text(
+        "i,w,f,b,t,n,big,mix,suffix,date\n"
+        "1,1.0,1.5,True,x,NA,12345678901234567,1,1d,2020-01-01\n"
+        "NA,2.0,1e3,false,None,,9,a,2d,2020-01-02\n"
+        "-3,,null,NaN,N/A,nan,8,2,3,n/a\n"
+    )
+    _, df = csv.read_csv(spark, str(path), "t")
+    assert dict(df.dtypes) == {
+        "i": "bigint", "w": "bigint", "f": "double", "b": "boolean", "t": "string", "n": "string", "big": "bigint",
+        "mix": "string", "suffix": "string", "date": "string",
+    }
+    assert [tuple(r) for r in df.orderBy("i").collect()][0] == (None, 2, 1000.0, False, None, None, 9, "a", "2d", "2020-01-02")
+    assert df.where("big = 12345678901234567").count() == 1
+    assert dict(csv.read_delimited(spark, str(path), ",").dtypes)["w"] == "double"
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        csv.read_delimited(spark, str(path), ",", "i int, w double, f double, b boolean, t string, n string, "
+                           "big bigint, mix int, suffix string, date date").collect()
+
+
 def test_read_csv_folder(spark, rows, tmp_path):
     for i in (1, 2):
         (tmp_path / f"part_{i}.csv").write_text(f"a,b\n{i},x\n")
@@ -56,17 +77,17 @@ def test_write_csv_adds_the_suffix(spark, counts, rows, tmp_path):
 
 def test_scan_pipe_folder(spark, rows, tmp_path):
     (tmp_path / "a.csv").write_text("x|y\n1|2\n")
-    (tmp_path / "b c.csv").write_text("x|y\n3|\n")
+    (tmp_path / "b c+.csv").write_text("x|y\n3|\n")
     (tmp_path / "d.csv").write_text("y|z\n5|6\n")
     (tmp_path / "empty.csv").write_text("")
     (tmp_path / "note.txt").write_text("x|y\n9|9\n")
     csv.write_pipe_csv(spark.createDataFrame([("7", "8")], "x string, y string"), str(tmp_path / "folder.csv"))
     found, skipped = csv.scan_pipe_folder(spark, str(tmp_path))
     assert rows(found.select("file", "x", "y", "z")) == sorted([
-        ("a.csv", "1", "2", None), ("b c.csv", "3", None, None), ("d.csv", None, "5", "6"), ("folder.csv", "7", "8", None),
+        ("a.csv", "1", "2", None), ("b c+.csv", "3", None, None), ("d.csv", None, "5", "6"), ("folder.csv", "7", "8", None),
     ], key=repr)
     assert skipped == {"empty.csv": "no header"}
-    assert sorted(csv.read_pipe_folder(spark, str(tmp_path))) == ["a.csv", "b c.csv", "d.csv", "empty.csv", "folder.csv"]
+    assert sorted(csv.read_pipe_folder(spark, str(tmp_path))) == ["a.csv", "b c+.csv", "d.csv", "folder.csv"]
 
 
 def test_queries(spark, counts, rows):
