@@ -80,7 +80,9 @@ def report_blocks(
 
 def report_pages(blocks: DataFrame, page_size: int = 10) -> DataFrame:
     """Text pages of ``report_blocks``: title ``name (i/n)``, file, columns and up to ten lines."""
-    paged = paged_rows(blocks, ["institution", "file", "columns"], ["line"], page_size)
+    # written down first: the lines are few against the files they were found in, and sorting them
+    # into ranges reads them twice
+    paged = paged_rows(cut_lineage(blocks), ["institution", "file", "columns"], ["line"], page_size)
     # a page holds at most page_size lines
     pages = paged.groupBy("institution", "file", "columns", "page", "pages").agg(
         F.array_sort(F.collect_list(F.struct("row_no", "line"))).alias("rows")
