@@ -34,15 +34,38 @@ def build_session(app: str = "tallyport", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (a single-machine test) is a new temporary folder used.
+    Only a single-machine session may go without it and gets a temporary folder. On a cluster such a folder
+    would be another one on each executor, so there the setting is required.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (configured or tempfile.mkdtemp(prefix="run-", dir="/tmp")).rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
+_scratch: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder."""
-    return f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    _scratch.append(folder)
+    return f"{folder}/{name}"
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process made; call it when all results have been written.
+
+    Returns their number. Frames that still read a scratch table cannot be used afterwards.
+    """
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    cleared = 0
+    while _scratch:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        cleared += path.getFileSystem(hadoop).delete(path, True)
+    return cleared
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
