@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm import decontaminate, line_dedup, mixing, secrets
+from tallyport.llm import decontaminate, licenses, line_dedup, mixing, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -101,3 +101,27 @@ SELECT d.doc_id, coalesce(len(string_split(text, chr(10))), 0) AS n_lines,
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents d LEFT JOIN kept ON kept.doc_id = d.doc_id
 """
+
+
+@query
+def op1_licenses(spark, sf_dir):
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    base = F.filter("places", lambda p: p["base"])
+    labels = lambda places: F.transform(places, lambda p: p["label"])
+    listed = lambda names: F.array_join(F.array_sort(F.array_distinct(names)), ",")
+    starts = F.transform(base, lambda p: p["start"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        listed(labels(base)).alias("base_labels"),
+        listed(F.concat(labels(F.col("places")), F.flatten(F.transform("expressions", lambda e: e["labels"])))).alias("labels"),
+        "score", F.exists("expressions", lambda e: e["permissive"]).alias("permissive"),
+    )
+
+
+@query
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
