@@ -163,9 +163,9 @@ def _machine(x: np.ndarray, y: np.ndarray, cost: float = 30.0, rounds: int = 25)
     return w
 
 
-def fit(texts: list[bytes], labels: list[int], landmarks: int = 320, rounds: int = 5) -> Model:
+def fit(texts: list[bytes], labels: list[int], landmarks: int = 320, rounds: int = 3) -> Model:
     """Train on whole texts with document labels. Without both classes nothing can be learnt and all is clean."""
-    table, clean_at, hard = None, {}, []
+    table, clean_at, hard, floor = None, {}, [], 0.0
     bags = [sorted(sentence_words(t)) for t in texts]
     toxic = [b for b, y in zip(bags, labels) if y == 1 and b]
     clean = [b for b, y in zip(bags, labels) if y == 0 and b]
@@ -173,6 +173,7 @@ def fit(texts: list[bytes], labels: list[int], landmarks: int = 320, rounds: int
         return CLEAN
     clean_words = Counter(w for bag in clean for w in bag)
     known, clean_parts = sorted(clean_words), _documents_with(clean)
+    plain = known[::max(1, len(known) // 4000)]
     witnesses: Counter = Counter()
     unexplained = toxic
     for _ in range(rounds):
@@ -188,38 +189,36 @@ def fit(texts: list[bytes], labels: list[int], landmarks: int = 320, rounds: int
         at = {w: as_parts[w] + odds for w, odds in zip(words, as_word.tolist())}
         # a document whose most telling word tells far less than elsewhere has no witness yet
         usual = float(np.median([max(at[w] for w in bag) for bag in unexplained]))
+        floor = floor or max(1.6, 0.25 * usual)
         alone = dict(zip(words, as_word.tolist()))
         before = len(witnesses)
         for bag in unexplained:
-            least, apart = max(0.7 * max(at[w] for w in bag), 0.5 * usual, 1.6), 0.8 * max(alone[w] for w in bag)
-            witnesses.update(w for w in bag if at[w] >= least or alone[w] >= max(apart, 1.6))
+            least, apart = max(0.7 * max(at[w] for w in bag), 0.5 * usual, floor), 0.95 * max(alone[w] for w in bag)
+            witnesses.update(w for w in bag if at[w] >= least or alone[w] >= max(apart, 2.0) and seen[w] > 2)
         if not witnesses:
             return CLEAN
         if len(witnesses) == before and hard:
             break
         insults = sorted(witnesses, key=lambda w: (-witnesses[w], w))[:3000]
-        if table is None:
-            hard = []
-        else:
-            against = np.array([clean_at[w] for w in known])
-            hard = [known[i] for i in np.argsort(-against, kind="stable")[:4000]]
-        plain = known[::max(1, len(known) // 4000)]
-        pick = landmarks * 5 // 8
-        marks = insults[:pick] + (hard or plain)[:landmarks - pick]
-        gram = _kernel(marks, marks).astype(np.float64)
-        value, vector = np.linalg.eigh((gram + gram.T) / 2)
-        good = value > 1e-4 * value.max()
-        whiten = vector[:, good] / np.sqrt(value[good])
         # the commonest insults also with one character put in, unless clean documents have the result
         bent = [v for w in insults[:200] for v in _bent(w) if v not in clean_words]
-        words = insults + bent + hard + plain
-        y = np.concatenate([np.ones(len(insults) + len(bent)), -np.ones(len(hard) + len(plain))])
-        weights = _machine(_kernel(words, marks) @ whiten.astype(np.float32), y)
-        table, bias = np.zeros(FEATURES), weights[-1]
-        for mark, alpha in zip(marks, whiten @ weights[:-1]):
-            _, feature, weight = subsequences([mark])
-            table[feature] += alpha * weight
-        clean_at = _scored(known, table)
+        for _ in range(3):  # each time with the clean words that the last machine took for the worst
+            marks = insults[:landmarks // 2]
+            marks = marks + (hard or plain)[:landmarks - len(marks)]
+            gram = _kernel(marks, marks).astype(np.float64)
+            value, vector = np.linalg.eigh((gram + gram.T) / 2)
+            good = value > 1e-4 * value.max()
+            whiten = vector[:, good] / np.sqrt(value[good])
+            words = insults + bent + hard + plain
+            y = np.concatenate([np.ones(len(insults) + len(bent)), -np.ones(len(hard) + len(plain))])
+            weights = _machine(_kernel(words, marks) @ whiten.astype(np.float32), y)
+            table, bias = np.zeros(FEATURES), weights[-1]
+            for mark, alpha in zip(marks, whiten @ weights[:-1]):
+                _, feature, weight = subsequences([mark])
+                table[feature] += alpha * weight
+            clean_at = _scored(known, table)
+            worst_first = sorted(clean_at, key=lambda w: (-clean_at[w], w))[:2000]
+            hard = worst_first + sorted(set(hard) - set(worst_first))[:4000]
         everything = clean_at | _scored(sorted({w for bag in toxic for w in bag if w not in clean_at}), table)
         unexplained = [bag for bag in toxic if max(everything[w] for w in bag) < -bias]
         if len(unexplained) < 3:
