@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm import decontaminate, licenses, line_dedup, mixing, secrets, toxicity
+from tallyport.llm import decontaminate, jaccard_join, licenses, line_dedup, mixing, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -125,3 +125,32 @@ def op6_toxicity(spark, sf_dir):
     found = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op2_jaccard_join(spark, sf_dir):
+    found = jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"), k=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+ORACLE["op2_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 4) - 1], ' ') AS s
+  FROM words, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS t(i) WHERE len(w) > 0
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY ALL
+), link AS (
+  SELECT a, b FROM common JOIN size x ON a = x.doc_id JOIN size y ON b = y.doc_id WHERE 100 * c >= 85 * (x.n + y.n - c)
+), reach AS (
+  SELECT a AS id, b AS other FROM link UNION SELECT id, b FROM reach JOIN link ON other = a
+)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(m, w.doc_id)) AS component_id
+FROM words w LEFT JOIN size ON size.doc_id = w.doc_id
+     LEFT JOIN (SELECT id, min(other) AS m FROM reach GROUP BY id) r ON r.id = w.doc_id
+"""
