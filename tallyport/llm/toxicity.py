@@ -38,6 +38,7 @@ FEATURES = 1 << 20
 WHOLE = 2.0
 DECAY = 0.7
 MEMO_WORDS = 400_000
+BLOCK = 4000
 _PUNCTUATION = string.punctuation.encode()
 _SPELLED = re.compile(rb"(?<!\S)(?:\S\s){2,}\S(?!\S)")
 
@@ -120,22 +121,20 @@ class Model(NamedTuple):
 CLEAN = Model(np.zeros(FEATURES, np.float32), 1.0, 30.0)
 
 
-def _documents_with(side: list[list[bytes]]) -> np.ndarray:
-    """In how many documents each subsequence occurs, from the words of each document."""
-    number = {w: i for i, w in enumerate(sorted({w for bag in side for w in bag}))}
-    words = sorted(number)
-    counts = np.zeros(FEATURES)
-    word, feature, _ = subsequences(words)
-    begin = np.searchsorted(word, np.arange(len(words) + 1))
-    for bag in side:
-        counts[np.unique(np.concatenate([feature[begin[number[w]]:begin[number[w] + 1]] for w in bag]))] += 1
-    return counts
+def _parts_seen(words: Counter, documents: int) -> np.ndarray:
+    """About how many documents have each subsequence, from how many have each word."""
+    counts, listed = np.zeros(FEATURES), sorted(words)
+    for i in range(0, len(listed), BLOCK):
+        block = listed[i:i + BLOCK]
+        word, feature, _ = subsequences(block)
+        counts += np.bincount(feature, np.array([words[w] for w in block], float)[word], FEATURES)
+    return np.minimum(counts, documents)
 
 
 def _scored(words: list[bytes], table: np.ndarray) -> dict[bytes, float]:
     out: dict[bytes, float] = {}
-    for i in range(0, len(words), 20_000):
-        block = words[i:i + 20_000]
+    for i in range(0, len(words), BLOCK):
+        block = words[i:i + BLOCK]
         out.update(zip(block, _scores(block, table).tolist()))
     return out
 
@@ -166,13 +165,14 @@ def _machine(x: np.ndarray, y: np.ndarray, cost: float = 30.0, rounds: int = 25)
 def fit(texts: list[bytes], labels: list[int], landmarks: int = 320, rounds: int = 3) -> Model:
     """Train on whole texts with document labels. Without both classes nothing can be learnt and all is clean."""
     table, clean_at, hard, floor = None, {}, [], 0.0
-    bags = [sorted(sentence_words(t)) for t in texts]
+    shared: dict[bytes, bytes] = {}  # one object per word
+    bags = [sorted(shared.setdefault(w, w) for w in sentence_words(t)) for t in texts]
     toxic = [b for b, y in zip(bags, labels) if y == 1 and b]
     clean = [b for b, y in zip(bags, labels) if y == 0 and b]
     if not toxic or not clean:
         return CLEAN
     clean_words = Counter(w for bag in clean for w in bag)
-    known, clean_parts = sorted(clean_words), _documents_with(clean)
+    known, clean_parts = sorted(clean_words), _parts_seen(clean_words, len(clean))
     plain = known[::max(1, len(known) // 4000)]
     witnesses: Counter = Counter()
     unexplained = toxic
@@ -185,7 +185,7 @@ def fit(texts: list[bytes], labels: list[int], landmarks: int = 320, rounds: int
         seen = Counter(w for bag in unexplained for w in bag)
         words = sorted(seen)
         as_word = rarer(np.array([seen[w] for w in words], float), np.array([clean_words[w] for w in words], float))
-        as_parts = _scored(words, rarer(_documents_with(unexplained), clean_parts))
+        as_parts = _scored(words, rarer(_parts_seen(seen, len(unexplained)), clean_parts))
         at = {w: as_parts[w] + odds for w, odds in zip(words, as_word.tolist())}
         # a document whose most telling word tells far less than elsewhere has no witness yet
         usual = float(np.median([max(at[w] for w in bag) for bag in unexplained]))
