@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm import decontaminate, jaccard_join, licenses, line_dedup, mixing, secrets, toxicity
+from tallyport.llm import decontaminate, jaccard_join, licenses, line_dedup, mixing, phrase_dedup, secrets, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -154,3 +154,58 @@ SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(m, w.doc
 FROM words w LEFT JOIN size ON size.doc_id = w.doc_id
      LEFT JOIN (SELECT id, min(other) AS m FROM reach GROUP BY id) r ON r.id = w.doc_id
 """
+
+
+@query
+def op7_suffix_dedup(spark, sf_dir):
+    found = suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+    spans = F.transform("spans", lambda s: F.concat_ws(":", s["first"].cast("string"), s["end"].cast("string")))
+    return found.select("doc_id", "n_words", "n_repeated", F.array_join(spans, ",").alias("spans"),
+                        F.array_join(F.transform("partners", lambda p: p.cast("string")), ",").alias("partners"))
+
+
+_PLAIN_WINDOWS = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + {n} - 1], ' ') AS s FROM words, unnest(range(1, len(w) - {n} + 2)) AS t(i)
+), """
+ORACLE["op7_suffix_dedup"] = _PLAIN_WINDOWS.format(n=50) + r"""again AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS low, max(doc_id) OVER (PARTITION BY s) AS high
+  FROM windows QUALIFY count(*) OVER (PARTITION BY s) > 1
+), hit AS (
+  SELECT DISTINCT doc_id, p FROM again, unnest(range(i, i + 50)) AS t(p)
+), span AS (
+  SELECT doc_id, min(p) AS a, max(p) + 1 AS b
+  FROM (SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS island FROM hit) GROUP BY doc_id, island
+), spans AS (
+  SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n, string_agg((a - 1) || ':' || (b - 1), ',' ORDER BY a) AS spans FROM span GROUP BY doc_id
+), partners AS (
+  SELECT doc_id, string_agg(CAST(p AS VARCHAR), ',' ORDER BY p) AS partners
+  FROM (SELECT doc_id, low AS p FROM again UNION SELECT doc_id, high FROM again) WHERE p <> doc_id GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, coalesce(n, 0) AS n_repeated, coalesce(spans, '') AS spans,
+       coalesce(partners, '') AS partners
+FROM words LEFT JOIN spans USING (doc_id) LEFT JOIN partners USING (doc_id)
+"""
+
+
+@query
+def op9_phrase_dedup(spark, sf_dir):
+    found = phrase_dedup.dedupe_phrases(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLE["op9_phrase_dedup"] = _PLAIN_WINDOWS.format(n=20) + r"""ranked AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM windows
+), gone AS (
+  SELECT DISTINCT doc_id, p FROM ranked, unnest(range(i, i + 20)) AS t(p) WHERE k > 1
+), kept AS (
+  SELECT doc_id, string_agg(w[i], ' ' ORDER BY i) AS kept, count(*) AS n
+  FROM words, unnest(range(1, len(w) + 1)) AS t(i)
+  WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = words.doc_id AND p = i) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(len(w), 0) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM words w LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
