@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm import decontaminate, jaccard_join, licenses, line_dedup, mixing, phrase_dedup, secrets, suffix_dedup, toxicity
+import corpus_pipeline
+from tallyport.llm import (
+    decontaminate, hamming_search, jaccard_join, licenses, line_dedup, mixing, phrase_dedup, secrets, suffix_dedup, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -209,3 +212,14 @@ SELECT w.doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(l
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM words w LEFT JOIN kept ON kept.doc_id = w.doc_id
 """
+
+
+@query
+def op3_nearest(spark, sf_dir):
+    vectors = hamming_search.usable_vectors(table(spark, sf_dir, "embeddings"))
+    return hamming_search.nearest(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
