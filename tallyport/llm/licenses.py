@@ -200,8 +200,10 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 
     ``places``: ``start`` (in words, from 0), ``label`` and ``base`` of every occurrence of every phrase, overlapping
     ones too. ``expressions``: what follows each tag. ``score``: 0 without any finding, otherwise one minus the
-    product of the doubts about each label. Null counts as empty. Each row is treated by itself: nothing is shuffled.
+    product of the doubts about each label. Null counts as empty. Columns with these
+    names are replaced, others pass through. Each row is treated by itself: nothing is shuffled.
     """
+    docs = docs.drop("n_words", "places", "expressions", "score")
     names = docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 

@@ -44,8 +44,10 @@ def dedupe_lines(docs: DataFrame, width: int = 3) -> DataFrame:
     Lines end at U+000A. Null text has no lines and stays null; empty text is one blank line. Documents with
     fewer lines than ``width`` have no window and stay whole. Rows with the same ``doc_id`` and text are one
     document and lose the same lines; a null ``doc_id`` counts as smallest. A text that loses all lines
-    becomes empty. Other columns pass through.
+    becomes empty. Columns named like the results or like the working columns (``_key``, ``_doc``, ``_hash``,
+    ``_starts``, ``_kept``) are replaced or dropped, others pass through.
     """
+    docs = docs.drop("n_lines", "n_removed", "_key", "_doc", "_hash", "_starts", "_kept")
     windows = line_windows(docs, width)
     start = F.struct("doc_id", "text_hash", "line")
     # one row per repeated window; sums up before the shuffle, so a window found everywhere is no hot key

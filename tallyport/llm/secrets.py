@@ -132,7 +132,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
     ``kind`` is a place in ``KINDS``; positions count code points, ends are exclusive. ``base`` has the three
     fixed kinds, ``spans`` also random-looking candidates that overlap no base span. Null and empty texts
-    have no span. Every row is treated by itself, so nothing is shuffled and repeated rows agree.
+    have no span. Columns with these names are replaced, others pass through. Every row is treated by itself, so nothing is shuffled and repeated rows agree.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     base = F.array_sort(F.concat(_matches(text, ASSIGN, 0, 12, 1), _matches(text, ACCESS, 1, 18), _matches(text, HEX, 2, 16)))

@@ -77,7 +77,8 @@ def subsequences(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
         feature = np.zeros(n, np.int64)
         for offset in spread:
             feature = feature * CLASSES + flat[offset:n + offset]
-        feature = (feature[same] * 0x9E3779B1 + len(spread)) % FEATURES
+        named = (feature[same] * 8 + len(spread)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        feature = (named >> np.uint64(44)).astype(np.int64)  # the 20 highest bits, which all characters reach
         parts.append((owner[:n][same], feature, np.full(len(feature), DECAY ** (last + 1 - len(spread)))))
     word, feature, weight = (np.concatenate(x) for x in zip(*parts))
     key = word * FEATURES + feature
@@ -258,6 +259,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` from 0 to 1. Null and empty texts have no word and score like the mildest word, near 0."""
+    docs = docs.drop("score", "predicted")
     names = docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
@@ -282,7 +284,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 2000) -> DataFrame:
     """``docs`` with ``score`` and ``predicted`` (1 from 0.5 on), learnt from ``labels``.
 
-    Only the text is an input of the score. Ids that occur several times get one result per row.
+    Only the text is an input of the score. Columns with these names are replaced, others pass through. Ids that occur several times get one result per row.
     """
     scored = score(docs, train(docs, labels, per_class))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
