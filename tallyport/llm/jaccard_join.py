@@ -1,7 +1,7 @@
 """Joins documents by Jaccard similarity of their word shingles, with signature trees.
 
-1. Every document gets its set of shingle hashes and a signature: a bitmap of those in a fixed quarter of the
-   hash range. Documents with equal sets are one class from here on.
+1. Every document gets its set of shingle hashes and a signature: a bitmap with four to eight bits for each of
+   them. Documents with equal sets are one class from here on.
 2. Two sets that are similar enough share one of the first few shingles in any common order. With rarely
    used shingles first, these few lead together what may be similar and little else: a ward for each shingle
    that two classes share. Stretches of a ward without a fitting neighbour in size fall away.
@@ -42,15 +42,14 @@ def shingle_set(text: bytes, k: int, memo: WordHashes) -> np.ndarray:
 
 
 def _bits(n: int) -> int:
-    return 1 << max(6, int(2 * n - 1).bit_length())
+    return 1 << max(6, int(4 * n - 1).bit_length())
 
 
 def signature(tokens: np.ndarray) -> np.ndarray:
-    """Bitmap, as bytes, of the quarter of the hash range; about a tenth of the bits are set."""
+    """Bitmap of the hashes, as bytes; an eighth to a quarter of the bits are set."""
     bits = _bits(len(tokens))
-    quarter = tokens[(tokens & np.uint64(3)) == 0]
     flags = np.zeros(bits, np.uint8)
-    flags[((quarter >> np.uint64(2)) % np.uint64(bits)).astype(np.int64)] = 1
+    flags[(tokens % np.uint64(bits)).astype(np.int64)] = 1
     return np.packbits(flags)
 
 
@@ -72,9 +71,10 @@ def _sketch(docs: DataFrame, k: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, counts = WordHashes(), np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            for text in utf8(batch.column(0)):
-                tokens = shingle_set(text or b"", k, memo)
-                counts += np.bincount((tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
+            for begin in range(0, batch.num_rows, 200):
+                sets = [shingle_set(text or b"", k, memo) for text in utf8(batch.column(0).slice(begin, 200))]
+                slots = np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)
+                counts += np.bincount(slots.astype(np.int64), minlength=1 << SKETCH_BITS)
         slots = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(counts[slots])], ["slot", "n"])
 
@@ -294,25 +294,25 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     wards = cut_lineage(_wards(shingles, percent))
     # rows sharing an id are connected to begin with
     same_id = usable.join(classes.withColumnRenamed("id", "b"), ["digest", "n"]).select(F.col("doc_id").alias("a"), "b").filter("a <> b").distinct()
+    # bitmaps of one length, or of two in a row, meet: a class also visits the next length if a similar set may have it
+    visits = F.array_distinct(F.array(_length("n"), _length(F.ceil(F.col("n") * 100 / percent))))
+    wards = wards.withColumn("_length", F.explode(visits)).withColumn("ward", F.xxhash64("ward", "_length")).drop("_length")
     # first round: the smallest of each ward, if signatures allow
-    stars = (
-        wards.join(wards.groupBy("ward").agg(F.min("id").alias("a")), "ward").filter("id <> a")
-        .select("a", F.col("id").alias("b")).distinct()
-    )
+    smallest = wards.groupBy("ward").agg(F.min("id").alias("a"), F.count("*").alias("_size")).filter("_size > 1")
+    wards = cut_lineage(wards.join(smallest, "ward"))
+    stars = wards.filter("id <> a").select("a", F.col("id").alias("b")).distinct()
     sigs = sole.select("id", "n", "sig")
     open_stars = _allowed(
         stars.join(sigs.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b")), "b")
         .join(sigs.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), "a"), percent)
     first = cut_lineage(_verified(docs, cut_lineage(open_stars), k, percent).select("a", "b"))
     found = components(first)
-    # second round: wards with several components
-    member = wards.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    # bitmaps of one length, or of two in a row, meet: a class also visits the next length if a similar set may have it
-    visits = F.array_distinct(F.array(_length("n"), _length(F.ceil(F.col("n") * 100 / percent))))
-    member = cut_lineage(member.withColumn("_length", F.explode(visits)).withColumn("ward", F.xxhash64("ward", "_length")).drop("_length"))
+    # second round: wards with several components; wards of two were settled by the first
+    member = wards.filter("_size > 2").drop("a").join(found, "id", "left")
+    member = cut_lineage(member.withColumn("component", F.coalesce("component", "id")))
     unsettled = member.groupBy("ward").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_size")).filter("_low <> _high")
-    tiles = _tiles(member.join(unsettled.select("ward", "_size"), "ward").join(sigs, ["id", "n"]))
+        F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low <> _high").select("ward")
+    tiles = _tiles(member.join(unsettled, "ward").join(sigs, ["id", "n"]))
     pairs = cut_lineage(_ward_pairs(tiles, percent).distinct())
     second = cut_lineage(_verified(docs, pairs, k, percent).select("a", "b"))
     joined = components(
@@ -329,7 +329,7 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 def _length(n):
     """Class of bitmap lengths of a set size, as in ``_bits``."""
-    return F.length(F.bin((2 * (F.col(n) if isinstance(n, str) else n) - 1).cast("bigint")))
+    return F.length(F.bin((4 * (F.col(n) if isinstance(n, str) else n) - 1).cast("bigint")))
 
 
 def _allowed(pairs: DataFrame, percent: int) -> DataFrame:
