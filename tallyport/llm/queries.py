@@ -174,8 +174,8 @@ WITH words AS (
   SELECT doc_id, i, array_to_string(w[i:i + {n} - 1], ' ') AS s FROM words, unnest(range(1, len(w) - {n} + 2)) AS t(i)
 ), """
 ORACLE["op7_suffix_dedup"] = _PLAIN_WINDOWS.format(n=50) + r"""again AS (
-  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS low, max(doc_id) OVER (PARTITION BY s) AS high
-  FROM windows QUALIFY count(*) OVER (PARTITION BY s) > 1
+  SELECT doc_id, i, lag(doc_id) OVER g AS low, lead(doc_id) OVER g AS high
+  FROM windows WINDOW g AS (PARTITION BY s ORDER BY doc_id, i) QUALIFY count(*) OVER (PARTITION BY s) > 1
 ), hit AS (
   SELECT DISTINCT doc_id, p FROM again, unnest(range(i, i + 50)) AS t(p)
 ), span AS (

@@ -77,10 +77,10 @@ def test_repeated_passages(spark):
     covered, partners = defaultdict(set), defaultdict(set)
     for spots in places.values():
         if len(spots) > 1:
-            ids = [d for d, _ in spots]
-            for doc, i in spots:
+            spots.sort()
+            for place, (doc, i) in enumerate(spots):
                 covered[doc].update(range(i, i + 50))
-                partners[doc].update({min(ids), max(ids)} - {doc})
+                partners[doc].update({d for d, _ in spots[max(0, place - 1):place + 2]} - {doc})
     rows = grouped((r.doc_id, r.n_words, r.n_repeated, tuple((s.first, s.end) for s in r.spans), tuple(r.partners)) for r in found.collect())
     for doc, (n, repeated, spans, others) in rows.items():
         assert (n, repeated, others) == (len(plain(texts[doc])), len(covered[doc]), tuple(sorted(partners[doc])))
