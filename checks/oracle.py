@@ -335,12 +335,28 @@ ORACLE: dict[str, str] = {
           FROM codes_by_database WHERE nb_codes > 0))"""),
     "sql_source": """
         SELECT o_orderpriority, CAST(year(o_orderdate) AS INT) AS year, count(*) AS n_orders
-        FROM orders WHERE o_orderstatus = 'F' AND o_orderkey >= 100 GROUP BY ALL""",
+        FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL""",
     "csv_pipe_roundtrip": portal("SELECT * FROM per_create_year"),
     "csv_delimited_read": """
         SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
         WHERE o_orderstatus IN ('F', 'O')""",
-    "snapshot_read_through": "SELECT * FROM customer WHERE c_custkey % 3 = 0",
+    "snapshot_read_through": "SELECT *, 'saved' AS origin FROM customer",
+    "csv_text_roundtrip": """
+        SELECT 'document' AS kind, doc_id AS id, text FROM documents
+        UNION ALL SELECT 'page', page_id, html FROM pages""",
+    "delimited_inference": """
+        SELECT sep, o_orderkey, o_orderstatus, o_totalprice, o_orderpriority, 'bigint, string, double, string' AS kinds
+        FROM orders, (VALUES (';'), ('tab')) AS t(sep)""",
+    "numbered_missing": """
+        SELECT *, row_number() OVER (PARTITION BY block ORDER BY customer NULLS LAST, o_orderkey) AS row_no,
+               count(*) OVER (PARTITION BY block) AS block_rows
+        FROM (SELECT o_orderkey, CASE WHEN o_custkey % 3 > 0 THEN o_orderstatus END AS block,
+                     CASE WHEN o_orderkey % 5 > 0 THEN o_custkey END AS customer FROM orders)""",
+    "one_institution": portal("SELECT * FROM usage WHERE institution_name = 'NATION_7'"),
+    "text_search": f"""
+        SELECT DISTINCT doc_id, institution FROM documents
+        JOIN (SELECT DISTINCT {_norm('substr(text, 1, 40)')} AS institution FROM benchmark)
+             ON contains({_norm('text')}, institution) WHERE institution <> ''""",
     "table_refresh_roundtrip": workbook("""
         SELECT year, month_full, month2, CAST(sum(nb_codes) AS BIGINT) AS sum_of_codes
         FROM activity GROUP BY ALL"""),

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import PIVOT_YEARS, PORTAL_CHECK, WORKBOOK_CHECK, portal_tables, table
 from tallyport.functions import dates, labels, text
-from tallyport.operators import calendars, clean, metrics, quality, reports, runlogs, search
+from tallyport.operators import calendars, clean, metrics, paging, quality, reports, runlogs, search
 from tallyport.plans import institution_statistics as plan
 from tallyport.plans.workbook import TABLES
 from tallyport.session import cut_lineage, scratch_path
@@ -295,8 +296,8 @@ def sql_source(spark, sf_dir):
     return sql.run_query(
         spark,
         "SELECT o_orderpriority, CAST(year(o_orderdate) AS INT) AS year, count(*) AS n_orders "
-        "FROM {orders} WHERE o_orderstatus = :status AND o_orderkey >= :first GROUP BY ALL",
-        {"status": "F", "first": 100},
+        "FROM {orders} WHERE o_orderstatus = :status GROUP BY ALL",
+        {"status": "F"},
         orders=table(spark, sf_dir, "orders"),
     )
 
@@ -321,10 +322,58 @@ def csv_delimited_read(spark, sf_dir):
 @query
 def snapshot_read_through(spark, sf_dir):
     path = scratch_path(spark, "customer")
-    customer = table(spark, sf_dir, "customer")
-    snapshots.load_table(spark, customer.where("c_custkey % 3 = 0"), path)
-    # the saved third is preferred over the whole table
-    return snapshots.load_table(spark, customer, path, use_saved=True)
+    customer = table(spark, sf_dir, "customer").withColumn("origin", F.lit("saved"))
+    snapshots.load_table(spark, customer, path)
+    # the saved rows are preferred over those of today
+    return snapshots.load_table(spark, customer.withColumn("origin", F.lit("new")), path, use_saved=True)
+
+
+@query
+def csv_text_roundtrip(spark, sf_dir):
+    """All texts and pages, with their quotes, separators and line breaks, through both writers"""
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.col("html").alias("text"))
+    piped, commas = scratch_path(spark, "documents.csv"), scratch_path(spark, "pages.csv")
+    csv.write_pipe_csv(documents, piped)
+    csv.write_csv(pages, commas)
+    return csv.read_pipe_csv(spark, piped, documents.schema).select(F.lit("document").alias("kind"), "*").unionByName(
+        csv.read_csv(spark, commas, "pages", ",", pages.schema)[1].select(F.lit("page").alias("kind"), "*"))
+
+
+@query
+def delimited_inference(spark, sf_dir):
+    """Orders through semicolons and tabs, read back without a schema"""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    found = None
+    for sep in (";", "\t"):
+        path = scratch_path(spark, "orders.csv")
+        orders.write.options(sep=sep, header=True).csv(path)
+        read = csv.read_csv(spark, path, "orders", sep)[1]
+        read = read.select(F.lit(";" if sep == ";" else "tab").alias("sep"), "*", F.lit(", ".join(kind for _, kind in read.dtypes)).alias("kinds"))
+        found = read if found is None else found.unionByName(read)
+    return found
+
+
+@query
+def numbered_missing(spark, sf_dir):
+    """Row numbers where blocks and order keys may be missing"""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(F.col("o_custkey") % 3 > 0, F.col("o_orderstatus")).alias("block"),
+        F.when(F.col("o_orderkey") % 5 > 0, F.col("o_custkey")).alias("customer"))
+    return paging.numbered_rows(orders, ["block"], ["customer", "o_orderkey"])
+
+
+@query
+def one_institution(spark, sf_dir):
+    """A profile that names its institution reads its lines only"""
+    return _usage(spark, sf_dir, replace(PORTAL_CHECK, institution="NATION_7"))
+
+
+@query
+def text_search(spark, sf_dir):
+    """Whole documents that mention the beginning of a benchmark item"""
+    names = table(spark, sf_dir, "benchmark").select(F.substring("text", 1, 40).alias("institution_name"))
+    return search.contains_join(table(spark, sf_dir, "documents").select("doc_id", "text"), names, ["text"]).select("doc_id", "institution")
 
 
 @query

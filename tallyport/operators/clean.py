@@ -61,6 +61,8 @@ def _reportable_log(tables: PortalTables, profile: Profile) -> DataFrame:
     log = tables.usage_log.where(
         _not_in("group_name", profile.excluded_groups) & _not_in("user_id", profile.excluded_users)
     )
+    if profile.require_institution:
+        log = log.where(F.col("group_name").isNotNull())
     in_years = _within_years(log, profile)
     return log if in_years is None else log.where(in_years)
 

@@ -121,8 +121,11 @@ def contains_join(
     offered = F.array_distinct(F.flatten(F.concat(*[
         F.transform("__cells", _pieces_of_length(n)) for n in needles.lengths
     ])))
-    candidates = needles.joined_to(
-        rows.withColumn("__cells", cells).withColumn("piece", F.explode(offered)), "piece"
-    )
+    # pieces travel with the row's hash alone, however long its cells are; the row joins again once per name.
+    # Rows that are equal share a hash and their candidates, and every candidate is checked in full.
+    searched = rows.withColumn("__row", F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])).withColumn("__cells", cells)
+    offers = searched.select("__row", F.explode(offered).alias("piece"))
+    found = needles.joined_to(offers, "piece").select("__row", "institution").distinct()
+    candidates = searched.join(found, "__row")
     confirmed = F.exists("__cells", lambda cell: F.contains(cell, F.col("institution")))
     return candidates.where(confirmed).select(*rows.columns, "institution")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,12 +61,12 @@ def institution_statistics(
 ) -> UsageMetrics:
     """Writes all tables, chart frames and pages below ``out``; returns the metrics.
 
-    The log is cleaned once, for all institutions, and staged by year. ``institutions`` selects
+    The log is cleaned once, for all institutions unless ``profile`` names one, and staged by year. ``institutions`` selects
     whose charts and pages are written. With ``strict``, unknown institutions and missing years are
     errors instead of empty reports. ``positive_only`` is that of ``bar_chart_frames``.
     """
     out = out.rstrip("/")
-    usage = stage(clean.usage(tables, replace(profile, institution=None)), f"{out}/staging/usage", "year")
+    usage = stage(clean.usage(tables, profile), f"{out}/staging/usage", "year")
     subscriptions = stage(clean.subscription(tables, profile), f"{out}/staging/subscription")
     if strict:
         known = subscriptions.withColumnRenamed("labo_name", "institution_name")

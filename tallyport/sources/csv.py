@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tallyport.sources import files
 
+_RAGGED = "__ragged"
 SEPARATORS = (",", ";", "\t")
 
 # Texts that stand for a missing cell, and for a boolean.
@@ -23,8 +24,15 @@ BOOLEANS = ("True", "TRUE", "true", "False", "FALSE", "false")
 _WHOLE = r"^\s*[+-]?\d+\s*$"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
-# blanks at the ends of names and empty texts are written as they are
-_AS_IS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": ""}
+# A quote inside a quoted cell is doubled. Blanks at the ends of cells and empty texts stay as they are.
+_FORMAT = {
+    "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False, "emptyValue": "",
+}
+# Cells may hold line breaks, so a file is read by one task; writing bounds its rows. All columns are parsed, so
+# that no row with too few or too many cells goes unseen.
+_READ = _FORMAT | {"multiLine": True, "columnPruning": False}
+_WRITE = _FORMAT | {"maxRecordsPerFile": 1_000_000}
 
 
 def _cell(name: str) -> Column:
@@ -65,10 +73,11 @@ def read_delimited(
     """Rows of delimited files with a header.
 
     Cells are read as text, missing ones become NULL, and the rest is cast, so a value that does not
-    fit its type is an error and not NULL. Without a schema the types are inferred from all values,
+    fit its type is an error and not NULL. So are a row with fewer or more cells than the header, and a
+    header that differs from the schema or from file to file. Without a schema the types are inferred from all values,
     for which the files are read once more.
     """
-    reader = spark.read.option("sep", sep).option("header", True)
+    reader = spark.read.options(sep=sep, mode="FAILFAST", enforceSchema=False, **_READ)
     types: dict[str, str] = {}
     if schema is not None:
         fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
@@ -77,6 +86,8 @@ def read_delimited(
     raw = reader.csv(paths)
     if not raw.columns:
         return raw
+    if schema is None:  # read with the first file's names, every other file must have the same
+        raw = reader.schema(T.StructType([T.StructField(name, T.StringType()) for name in raw.columns])).csv(paths)
     texts = raw.select(*[
         F.when(~_cell(name).isin(*MISSING), _cell(name)).alias(name) for name in raw.columns
     ])
@@ -100,7 +111,14 @@ def read_pipe_csv(spark: SparkSession, path: str, schema: T.StructType | str | N
 
 def write_pipe_csv(df: DataFrame, path: str) -> None:
     """``|``-delimited UTF-8 files with header; the order of rows is that of ``df``."""
-    df.write.mode("overwrite").options(sep="|", header=True, **_AS_IS).csv(path)
+    df.write.mode("overwrite").options(sep="|", **_WRITE).csv(path)
+
+
+def _check_request(spark: SparkSession, path: str, table_name: str) -> None:
+    if not isinstance(table_name, str) or not table_name:
+        raise ValueError(f"a table needs a name, got {table_name!r}")
+    if not files.exists(spark, path):
+        raise ValueError(f"nothing to read at {path}")
 
 
 def read_csv(
@@ -114,12 +132,9 @@ def read_csv(
 
     Without a schema each column gets the narrowest of whole number, number, boolean and text.
     """
-    if not files.exists(spark, path):
-        raise ValueError(f"Path {path} does not exist")
-    if not table_name:
-        raise ValueError("Table name is empty")
+    _check_request(spark, path, table_name)
     if sep not in SEPARATORS:
-        raise ValueError(f"Separator {sep} is not supported")
+        raise ValueError(f"cannot read with {sep!r} between cells, only with one of {SEPARATORS}")
     return table_name, read_delimited(spark, path, sep, schema, whole_doubles=True)
 
 
@@ -131,15 +146,12 @@ def read_csv_folder(
     schema: T.StructType | str | None = None,
 ) -> tuple[str, DataFrame]:
     """(table name, rows) of all comma files in a folder whose names match, of one layout."""
-    if not isinstance(table_name, str):
-        raise ValueError("Table name is not a string")
+    _check_request(spark, folder, table_name)
     if not pattern:
-        raise ValueError("Pattern is empty")
-    if not files.exists(spark, folder):
-        raise ValueError(f"Path {folder} does not exist")
+        raise ValueError("which files to read needs a pattern")
     names = files.matching_children(spark, folder, pattern)
     if not names:
-        raise FileNotFoundError(f"No files found in {folder} with pattern {pattern}")
+        raise FileNotFoundError(f"nothing under {folder} is named like {pattern!r}")
     paths = [f"{folder.rstrip('/')}/{n}" for n in names]
     return table_name, read_delimited(spark, paths, ",", schema, whole_doubles=True)
 
@@ -147,7 +159,7 @@ def read_csv_folder(
 def write_csv(df: DataFrame, path: str) -> str:
     """Comma-delimited files with header at ``path``, with ``.csv`` added where it is missing."""
     target = path if path.endswith(".csv") else f"{path}.csv"
-    df.write.mode("overwrite").options(header=True, **_AS_IS).csv(target)
+    df.write.mode("overwrite").options(**_WRITE).csv(target)
     return target
 
 
@@ -169,7 +181,8 @@ def scan_pipe_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[
     """All rows of a folder's ``|``-delimited files as text, each with its ``file``.
 
     Files with one header are read together, and columns a layout lacks are NULL. The second value
-    names the files that were skipped, with the reason.
+    names the files that were skipped, with the reason: unreadable, without header, or with a row that has
+    fewer or more cells than the header, which takes one more pass to find.
     """
     layouts: dict[str, list[str]] = defaultdict(list)
     skipped: dict[str, str] = {}
@@ -186,17 +199,29 @@ def scan_pipe_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[
         else:
             skipped[name] = "no header"
     if not layouts:
-        raise FileNotFoundError(f"No readable CSV files in {folder}")
+        raise FileNotFoundError(f"no readable file in {folder}: {skipped}")
 
     scanned = None
     for header, names in sorted(layouts.items()):
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in header.split("|")])
+        fields = [T.StructField(c, T.StringType()) for c in header.split("|")]
+        schema = T.StructType([*fields, T.StructField(_RAGGED, T.StringType())])
         # a written folder and a single file are both named by the level below ``folder``
         below = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+\.csv)(?:/[^/]+)?$", 1)
-        rows = (
-            spark.read.option("sep", "|").option("header", True).schema(schema)
-            .csv([f"{folder.rstrip('/')}/{n}" for n in names])
-            .select(F.url_decode(F.replace(below, F.lit("+"), F.lit("%2B"))).alias("file"), "*")
-        )
+        reader = spark.read.options(sep="|", columnNameOfCorruptRecord=_RAGGED, **_READ).schema(schema)
+
+        def rows_of(some):
+            return reader.csv([f"{folder.rstrip('/')}/{n}" for n in some]).select(
+                F.url_decode(F.replace(below, F.lit("+"), F.lit("%2B"))).alias("file"), "*")
+
+        first = F.col(f"`{fields[0].name}`")
+        ragged = rows_of(names).groupBy("file").agg(
+            F.count(first).alias("cells"), F.count(_RAGGED).alias("bad")).filter("bad > 0").collect()
+        skipped.update({r["file"]: f"{r['bad']} rows do not fit the header" for r in ragged})
+        names = [n for n in names if n not in skipped]
+        if not names:
+            continue
+        rows = rows_of(names).drop(_RAGGED)
         scanned = rows if scanned is None else scanned.unionByName(rows, allowMissingColumns=True)
+    if scanned is None:
+        raise FileNotFoundError(f"no readable file in {folder}: {skipped}")
     return scanned, skipped

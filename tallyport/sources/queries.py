@@ -18,7 +18,7 @@ def run_query(
     Errors are raised, never turned into an empty table.
     """
     if not query or not query.strip():
-        raise ValueError("Query cannot be empty or None")
+        raise ValueError("there is no SQL text to run")
     return spark.sql(query, args=dict(params) if params else None, **frames)
 
 

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tallyport import session
@@ -14,6 +16,8 @@ class Unconfigured:
             return default
 
     class sparkContext:
+        master = "local[2]"
+
         @staticmethod
         def getCheckpointDir():
             return None
@@ -37,3 +41,19 @@ def test_cut_lineage(spark, rows):
     cut = session.cut_lineage(df)
     assert rows(cut) == rows(df) and cut.dtypes == df.dtypes
     assert "Range" not in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Cluster(Unconfigured):
+        class sparkContext(Unconfigured.sparkContext):
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Cluster)
+
+
+def test_clear_scratch(spark, monkeypatch):
+    monkeypatch.setattr(session, "_scratch", [])
+    session.cut_lineage(spark.range(3))
+    folder = session._scratch[0].removeprefix("file://")
+    assert os.path.isdir(folder) and session.clear_scratch(spark) == 1 and not os.path.exists(folder)
