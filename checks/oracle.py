@@ -352,7 +352,9 @@ ORACLE: dict[str, str] = {
                count(*) OVER (PARTITION BY block) AS block_rows
         FROM (SELECT o_orderkey, CASE WHEN o_custkey % 3 > 0 THEN o_orderstatus END AS block,
                      CASE WHEN o_orderkey % 5 > 0 THEN o_custkey END AS customer FROM orders)""",
-    "one_institution": portal("SELECT * FROM usage WHERE institution_name = 'NATION_7'"),
+    "one_institution": portal("""
+        SELECT * EXCLUDE (date_heure_extraction), CAST(date_heure_extraction AS VARCHAR) AS date_heure_extraction
+        FROM usage WHERE institution_name = 'NATION_7'"""),
     "text_search": f"""
         SELECT DISTINCT doc_id, institution FROM documents
         JOIN (SELECT DISTINCT {_norm('substr(text, 1, 40)')} AS institution FROM benchmark)

@@ -61,8 +61,9 @@ def subscription_clean(spark, sf_dir):
 
 @query
 def usage_subscription(spark, sf_dir):
-    tables = portal_tables(spark, sf_dir)
-    return clean.usage_subscription(clean.usage(tables, PORTAL_CHECK), clean.subscription(tables, PORTAL_CHECK))
+    usage = _usage(spark, sf_dir)
+    # staged, so that their size is known; the log's own keys tell which ones need salt beyond a broadcast
+    return clean.usage_subscription(usage, cut_lineage(_subscription(spark, sf_dir)), keys=usage)
 
 
 # --- Metrics ---
@@ -242,7 +243,7 @@ def _written_reports(spark, sf_dir):
     tables = portal_tables(spark, sf_dir)
     subscriptions = cut_lineage(clean.subscription(tables, PORTAL_CHECK))
     frames = {
-        plan.USERS: clean.usage_subscription(clean.usage(tables, PORTAL_CHECK), subscriptions),
+        plan.USERS: clean.usage_subscription(_usage(spark, sf_dir), subscriptions, keys=_usage(spark, sf_dir)),
         plan.PER_STATUS: metrics.subscribers_per_status(subscriptions),
         plan.PER_CREATE_YEAR: metrics.subscribers_per_create_year(subscriptions).withColumn(
             "date_create_year", F.col("date_create_year").cast("double")

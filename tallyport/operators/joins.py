@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 #: a side is broadcast only when the optimizer's size estimate is at most this
 BROADCAST_BYTES = 32 * 1024 * 1024
 
-#: keys holding more than this share of the large side are spread over many tasks
+#: keys holding more than this share of the large side are spread over many tasks; less with more partitions
 HOT_SHARE = 0.001
 
 _SALT = "__salt"
@@ -54,6 +54,11 @@ def lookup_join(
     return fact.join(lookup, on, how)
 
 
+def hot_share(partitions: int) -> float:
+    """A quarter of an even partition's share, within the precision of the summary (a ten-thousandth)."""
+    return max(1.01e-4, min(HOT_SHARE, 1 / (4 * partitions)))
+
+
 def hot_keys(keys: DataFrame, on: str, share: float = HOT_SHARE) -> DataFrame:
     """Every key above ``share`` of the rows, perhaps with others, at most ``1 / share`` in all.
 
@@ -70,7 +75,7 @@ def salted_join(
     how: str = "inner",
     keys: DataFrame | None = None,
     salts: int | None = None,
-    share: float = HOT_SHARE,
+    share: float | None = None,
 ) -> DataFrame:
     """Shuffled join in which hot keys of ``fact`` do not end up in one task.
 
@@ -80,7 +85,7 @@ def salted_join(
     """
     spark = fact.sparkSession
     salts = salts or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    hot = hot_keys(fact if keys is None else keys, on, share)
+    hot = hot_keys(fact if keys is None else keys, on, share or hot_share(salts))
     row_salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts)).cast("int")
     # NULL keys match nothing, so a left join may spread them freely
     spread = F.when(F.col(_HOT) | F.col(on).isNull(), row_salt).otherwise(F.lit(0))
