@@ -62,8 +62,15 @@ IDENTIFIERS = {
     "unlicense": ("unlicense", True), "wtfpl": ("wtfpl", True), "zlib": ("zlib", True),
     "licenseref-": ("other", False), "proprietary": ("proprietary", False),
 }
+# SPDX names without a digit or hyphen in lower case, which look like words of prose
+LOWER_NAMES = frozenset(
+    "blessing curl diffmark dtoa dvipdfm etalab gnuplot hdparm libtiff lsof magaz metamail mpich mplus "
+    "pnmstitch psfrag psutils snprintf softsurfer swrule threeparttable ulem xinetd xkeyboard xlock xpp xzoom".split())
 BASE_SURE, TAG_SURE = 0.9, 0.95
-_TOKEN = re.compile(r"[ \t]*(?:(\()|(\))|([A-Za-z0-9][A-Za-z0-9.+-]*))")
+# a name ends in a letter, digit or plus, so that a full stop or the end of a comment is not taken into it
+_TOKEN = re.compile(
+    r"[ \t]*(?:(\()|(\))|((?:DocumentRef-[A-Za-z0-9.-]+:(?=LicenseRef-))?[A-Za-z0-9](?:[A-Za-z0-9.+-]*[A-Za-z0-9+])?))")
+_BEFORE_OPERATOR = re.compile(r"[ \t]+(?:AND|OR|WITH)(?![A-Za-z0-9.+-])")
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 
@@ -76,30 +83,39 @@ class Expression(NamedTuple):
     permissive: bool
 
 
-def _identified(name: str) -> tuple[str, bool] | None:
-    low = name.lower()
+def _identified(name: str) -> tuple[str, bool]:
+    """Label of an identifier and whether it is permissive. One outside the table is its own label and not permissive."""
+    low = name.lower().rpartition(":")[2]
     known = [p for p in IDENTIFIERS if low == p or low.rstrip("+") == p or p.endswith("-") and low.startswith(p)
              or p[-1].isdigit() and low.startswith(p)]
-    return IDENTIFIERS[max(known, key=len)] if known else None
+    return IDENTIFIERS[max(known, key=len)] if known else (low.rstrip("+"), False)
+
+
+def _is_prose(name: str) -> bool:
+    """Whether a name is in nothing but small letters and no licence's, like the words after ``MIT and``."""
+    return name.isalpha() and name.islower() and name not in IDENTIFIERS and name not in LOWER_NAMES
 
 
 def parse_expression(text: str, start: int = 0) -> Expression | None:
     """The longest well-formed expression that begins at ``start``; None if there is none.
 
-    Reading stops at the end of the line and at whatever cannot go on: an unknown identifier, two operands in a
-    row, an unmatched parenthesis. An operator without a right side is given back.
+    Every name in the place of an operand is an identifier, also one outside the table; only a word in small letters
+    that names no licence is prose, unless an operator in capitals stands beside it. Reading stops at the end of the line
+    and at whatever cannot go on: prose, two operands in a row, an unmatched parenthesis. An operator without a right
+    side is given back.
     """
     output: list[str] = []
     stack: list[str] = []
     best: tuple[int, list[str]] | None = None
-    wants_operand, after_with, at = True, False, start
+    wants_operand, after_with, capitals, at = True, False, False, start
     while match := _TOKEN.match(text, at):
         opening, closing, word = match.groups()
         operator = word and word.lower() in _PRECEDENCE
         if wants_operand:
             if opening and not after_with:
                 stack.append("(")
-            elif word and not operator and (after_with or _identified(word)):
+            elif word and not operator and (
+                    after_with or capitals or not _is_prose(word) or _BEFORE_OPERATOR.match(text, match.end())):
                 output.append(word)
                 wants_operand, after_with = False, False
             else:
@@ -112,7 +128,7 @@ def parse_expression(text: str, start: int = 0) -> Expression | None:
             while stack and stack[-1] != "(" and _PRECEDENCE[stack[-1]] >= _PRECEDENCE[name]:
                 output.append(stack.pop())
             stack.append(name)
-            wants_operand, after_with = True, name == "with"
+            wants_operand, after_with, capitals = True, name == "with", word.isupper()
         else:
             break
         at = match.end()
@@ -130,8 +146,8 @@ def evaluate(postfix: list[str]) -> tuple[list[str], bool]:
     values: list[tuple[frozenset[str], bool]] = []
     for token in postfix:
         if token not in _PRECEDENCE:
-            known = _identified(token)
-            values.append((frozenset([known[0]]), known[1]) if known else (frozenset(), False))
+            label, permissive = _identified(token)
+            values.append((frozenset([label]), permissive))
             continue
         right, left = values.pop(), values.pop()
         if token == "with":

@@ -214,6 +214,20 @@ def test_no_expression(text):
     assert licenses.parse_expression(text) is None
 
 
+@pytest.mark.parametrize("text, labels, permissive", [
+    ("MIT AND SSPL-1.0", ["mit", "sspl-1.0"], False),
+    ("OFL-1.1 AND GPL-3.0-only", ["gpl", "ofl-1.1"], False),
+    ("MIT OR (BUSL-1.1 AND Foo)", ["busl-1.1", "foo", "mit"], True),
+    ("MIT-0", ["mit-0"], False), ("MS-PL", ["ms-pl"], False), ("curl", ["curl"], False),
+    ("MIT AND inhouse", ["inhouse", "mit"], False), ("inhouse AND MIT", ["inhouse", "mit"], False),
+    ("CDDL-1.0+.", ["cddl-1.0"], False), ("MIT. See", ["mit"], True), ("MIT-->", ["mit"], True),
+    ("DocumentRef-a-1.2:LicenseRef-b AND MIT", ["mit", "other"], False),
+])
+def test_identifiers_outside_the_table(text, labels, permissive):
+    found = licenses.parse_expression(text)
+    assert (found.labels, found.permissive) == (labels, permissive)
+
+
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
