@@ -3,7 +3,7 @@
 A candidate is an unbroken run of key characters. For each character class a window slides over it while the
 counts of its characters are kept up: one character enters, one leaves, and the sum of c*log2(c), from which
 Shannon entropy follows, changes by those two only. A candidate is reported for the first class one of whose
-windows is random enough, unless the allow-list knows it as harmless.
+windows is random enough, unless the allow-list knows all its parts between separators as harmless.
 """
 
 from __future__ import annotations
@@ -19,7 +19,9 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 # Runs of one class are whole, so for these two the least length may stand in the pattern.
 ACCESS = r"AKIA[A-Z0-9]{14,}+"
 HEX = r"[0-9a-f]{16,}+"
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}+"
+# from the smallest window on
+CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}+"
+SEPARATOR = r"[+/_=-]"
 
 
 class CharacterClass(NamedTuple):
@@ -36,15 +38,23 @@ CLASSES = (
     CharacterClass("base32", r"^[A-Z2-7]+=*$", 20, 3.4),
     CharacterClass("base64", r"^[A-Za-z0-9+/_=-]+$", 20, 3.6),
 )
-#: harmless in full: UUIDs, placeholders, one repeated character, words and paths without a digit or of one case
+_UUID = r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
+_PLACEHOLDER = (r"(?i:example[a-z0-9]*|placeholder|changeme|lorem|x{4,}"
+                r"|(?:0123456789|abcdefghijklmnopqrstuvwxyz|abcdefgh|abcdef)++)")
+_LETTERS = r"[a-z]+|[A-Z]+|[A-Z][a-z]+"
+_NUMBERED = r"[0-9]+|[a-z]{1,11}[0-9]{1,4}|[0-9]{1,4}[a-z]{1,11}"
+#: Harmless candidates. The last two look at each part between separators, and one part that is none of theirs will do to keep
+#: a candidate: words of one case (or with a capital first) and placeholders without other digits; and, in small letters behind
+#: a separated word, also numbers and short words with a number. UUIDs may stand in both.
 ALLOWED = (
-    r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"(?i)example|placeholder|changeme|lorem|xxxx|0123456789|abcdefgh",
+    rf"^{_UUID}$",
     r"^(.)\1+$",
-    r"^[^0-9]+$",
     r"^[0-9_=-]+$",
-    r"^[a-z0-9]*(?:[-_/][a-z0-9]*)*[-_/][a-z]+(?:[-_/][a-z0-9]*)*$",
+    rf"^(?:{SEPARATOR}|(?:{_UUID}|{_LETTERS}|{_PLACEHOLDER})(?![A-Za-z0-9]))*+$",
+    rf"^(?=.*[-_/][a-z]+(?:[-_/]|$))(?:[-_/]|(?:{_UUID}|[a-z]+|{_NUMBERED}|{_PLACEHOLDER})(?![A-Za-z0-9]))*+$",
 )
+#: a hexadecimal part with a digit and a letter, or with letters of both cases
+_HEX_PART = r"^(?=.*[0-9].*[A-Fa-f]|.*[A-Fa-f].*[0-9]|.*[A-F].*[a-f]|.*[a-f].*[A-F])[0-9A-Fa-f]+$"
 
 
 def _matches(text: Column, pattern: str, kind: int, least: int, group: int = 0) -> Column:
@@ -80,9 +90,10 @@ def _matches(text: Column, pattern: str, kind: int, least: int, group: int = 0)
 def _entropy_reached(value: Column, window: int, least_bits: float) -> Column:
     """Whether some ``window`` consecutive characters have at least ``least_bits`` of Shannon entropy.
 
-    H = log2(w) - sum(c * log2(c)) / w, so the largest entropy is the smallest sum. ``logs[c]`` is c * log2(c).
+    H = log2(w) - sum(c * log2(c)) / w, so the largest entropy is the smallest sum. ``logs[c]`` is c * log2(c), up to
+    window + 1, as a character enters before another leaves.
     """
-    logs = F.array(*[F.lit(0.0 if c < 2 else c * math.log2(c)) for c in range(window + 1)])
+    logs = F.array(*[F.lit(0.0 if c < 2 else c * math.log2(c)) for c in range(window + 2)])
     most = window * (math.log2(window) - least_bits) + 1e-9
 
     def scan(chars):
@@ -114,10 +125,16 @@ def _entropy_reached(value: Column, window: int, least_bits: float) -> Column:
 
 
 def _random_looking(value: Column) -> Column:
-    """The class rules, tried from the narrowest alphabet to the widest, and the allow-list."""
+    """The class rules, tried from the narrowest alphabet to the widest, and the allow-list.
+
+    Parts between separators that are hexadecimal are also judged by themselves, as their window is smaller.
+    """
+    narrow = CLASSES[0]
     decided = F.lit(False)
     for kind in reversed(CLASSES):
         decided = F.when(value.rlike(kind.pattern), _entropy_reached(value, kind.window, kind.least_bits)).otherwise(decided)
+    decided = decided | F.exists(F.split(value, SEPARATOR), lambda part: F.when(
+        part.rlike(_HEX_PART), _entropy_reached(part, narrow.window, narrow.least_bits)).otherwise(False))
     allowed = F.lit(False)
     for pattern in ALLOWED:
         allowed = allowed | value.rlike(pattern)
@@ -138,7 +155,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     base = F.array_sort(F.concat(_matches(text, ASSIGN, 0, 12, 1), _matches(text, ACCESS, 1, 18), _matches(text, HEX, 2, 16)))
     with_base = docs.withColumn("base", base)
     candidates = F.filter(
-        _matches(text, CANDIDATE, 3, 20),
+        _matches(text, CANDIDATE, 3, CLASSES[0].window),
         lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])) & _random_looking(c["value"]),
     )
     return with_base.withColumn("spans", F.array_sort(F.concat("base", candidates)))

@@ -261,6 +261,19 @@ def test_secrets(spark):
     assert not found[8].spans and not [s for i in (7, 12) for s in found[i].spans if s.kind == 3]
 
 
+@pytest.mark.parametrize("keys, reported", [
+    (["qWxZrTyUkLpMnBvCdFgH", "sk_live_9f8q7w6e5r4t3y2u1i0p", "config/9f8q7w6e5r4t3y2u1i0p/prod", "zK9fxxxxQ2mZ7rLp0WvB4t",
+      "k7Q2mexampleZ7rLp0WvB4tNs", "9F3A77C1D2E4B865", "9f3A77c1D2e4B8650", "id=9F3A77C1D2E4B865", "xxxx-K9fQ2mZ7rLp0WvB4tNs"], True),
+    (["internationalization", "path/to/some/Readme-file", "docs/chapter2/section-14-intro", "users/123e4567-e89b-12d3-a456-426614174000/profile",
+      "id=1234567890123456", "1234-5678-9012-3456-7890", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+      "your_xxxxxxxxxxxx_placeholder_key", "_".join(["ab"] * 50000)], False),
+])
+def test_allow_list_judges_parts(spark, keys, reported):
+    rows = [(i, f"see {k} there", "en", "s", 1, "s", "k", 1, 2, 3) for i, k in enumerate(keys)]
+    for r in secrets.find_secrets(frame(spark, rows)).collect():
+        assert [s.value for s in r.spans if s.kind == 3] == [keys[r.doc_id]] * reported, keys[r.doc_id][:80]
+
+
 def test_entropy_by_counts_agrees_with_entropy(spark):
     values = ["abcdefghijklmnopqrst", "aabbccddeeffgghhiijj", "a" * 30 + "abcdefghijklmnopqrst", "xyxyxyxyxyxyxyxyxyxyxyxy", "abc"]
     for bits in (1.5, 3.0, 4.2):
