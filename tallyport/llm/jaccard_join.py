@@ -294,8 +294,8 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     wards = cut_lineage(_wards(shingles, percent))
     # rows sharing an id are connected to begin with
     same_id = usable.join(classes.withColumnRenamed("id", "b"), ["digest", "n"]).select(F.col("doc_id").alias("a"), "b").filter("a <> b").distinct()
-    # bitmaps of one length, or of two in a row, meet: a class also visits the next length if a similar set may have it
-    visits = F.array_distinct(F.array(_length("n"), _length(F.ceil(F.col("n") * 100 / percent))))
+    # bitmaps of one length meet: a class also visits every longer one that a similar set may have, two more below 50 percent
+    visits = F.sequence(_length("n"), _length(F.ceil(F.col("n") * 100 / percent)))
     wards = wards.withColumn("_length", F.explode(visits)).withColumn("ward", F.xxhash64("ward", "_length")).drop("_length")
     # first round: the smallest of each ward, if signatures allow
     smallest = wards.groupBy("ward").agg(F.min("id").alias("a"), F.count("*").alias("_size")).filter("_size > 1")

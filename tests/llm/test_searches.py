@@ -122,6 +122,16 @@ def test_jaccard(spark, monkeypatch, k, percent, tile):
     assert found == {d: (len(sets[d]), expected[d]) for d in sets}
 
 
+def test_jaccard_below_half(spark):
+    words, rows = [f"w{i}" for i in range(1000)], []
+    for i, (n, m) in enumerate([(60, 100), (62, 180), (30, 80), (100, 140), (60, 177)]):  # the smaller set is part of the larger
+        mine = [f"{w}of{i}" for w in words]
+        rows += [(10 * i + j, " ".join(mine[:size]), "en", "src", 1, "", "", 1, 1, 1) for j, size in enumerate((n, m))]
+    sets = {d: shingles(t, 1) for d, t in different(rows).items()}
+    found = jaccard_join.jaccard_classes(frame(spark, rows), 1, 34).collect()
+    assert {r.doc_id: r.component_id for r in found} == brute_components(sets, 34)
+
+
 def test_traversal_prunes_nothing_similar():
     import numpy as np
 
