@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallyport.llm import (
-    decontaminate, hamming_search, jaccard_join, licenses, line_dedup, mixing, phrase_dedup, secrets, suffix_dedup, toxicity,
+    decontaminate, hamming_search, jaccard_join, licenses, line_dedup, mixing, periodic_runs, phrase_dedup, secrets,
+    suffix_dedup, token_files, toxicity, vector_codes,
 )
+from tallyport.llm.columns import small
+from tallyport.session import cut_lineage, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -223,3 +226,101 @@ def op3_nearest(spark, sf_dir):
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
+
+
+# Fixed values of the planted periods: one document in ten, from a place and with a period drawn from crc32 of its id.
+_PLANTED = """
+  CASE WHEN h % 10 = 0 AND size(w) > 0 THEN
+    transform(w, (x, i) -> IF(i >= g % size(w),
+                              w[g % size(w) + (i - g % size(w)) % (1 + (size(w) - g % size(w)) div (3 + g % 8))], x))
+  ELSE w END
+"""
+_BEST = """get(array_sort(runs, (x, y) -> CASE
+  WHEN x.length * y.period <> y.length * x.period THEN IF(x.length * y.period > y.length * x.period, -1, 1)
+  WHEN x.start <> y.start THEN IF(x.start < y.start, -1, 1)
+  WHEN x.period <> y.period THEN IF(x.period < y.period, -1, 1) ELSE 0 END), 0)"""
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = F.coalesce(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""), F.array().cast("array<string>"))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    planted = (docs.withColumn("w", words).withColumn("h", h).withColumn("g", F.expr("h div 10"))
+               .select("doc_id", F.expr(_PLANTED).alias("words")))
+    found = periodic_runs.periodic_runs(planted).withColumn("best", F.expr(_BEST))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Place of a public tokenizer's file; a parameter of the query, never copied here."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op12_token_files(spark, sf_dir):
+    folder = scratch_path(spark, "tokens")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), folder, vocabulary()).collect()
+    return token_files.read_token_files(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    coded, books = vector_codes.train_codes(table(spark, sf_dir, "embeddings"))
+    coded = cut_lineage(coded.select("vec_id", "label", "d", "code", "error"))
+    digests = spark.createDataFrame([(d, vector_codes.books_digest(b)) for d, b in books.items()], "d int, codebooks_sha256 string")
+    by_label = cut_lineage(coded.groupBy(F.col("label").alias("same_label")).agg(F.sum("error").alias("label_error")))
+    joined = coded.join(small(by_label), coded["label"].eqNullSafe(by_label["same_label"])).join(F.broadcast(digests), "d")
+    return joined.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _lloyd_sql(rounds: int = vector_codes.ROUNDS, entries: int = vector_codes.ENTRIES, parts: int = vector_codes.PARTS) -> str:
+    steps = []
+    for r in range(1, rounds + 2):
+        steps.append(f"""a{r} AS (
+  SELECT rid, p.part, c.entry, sum((p.x - c.c) * (p.x - c.c)) AS dist
+  FROM comp p JOIN c{r - 1} c ON c.d = p.d AND c.part = p.part AND c.pos = p.pos GROUP BY ALL
+), pick{r} AS (
+  SELECT rid, part, entry, dist FROM a{r} QUALIFY row_number() OVER (PARTITION BY rid, part ORDER BY dist, entry) = 1
+)""")
+        if r <= rounds:
+            steps.append(f"""c{r} AS (
+  SELECT o.d, o.part, o.entry, o.pos, coalesce(n.c, o.c) AS c FROM c{r - 1} o LEFT JOIN (
+    SELECT p.d, p.part, k.entry, p.pos, CAST(floor(sum(p.x) / count(*)) AS BIGINT) AS c
+    FROM comp p JOIN pick{r} k ON k.rid = p.rid AND k.part = p.part GROUP BY ALL
+  ) n USING (d, part, entry, pos)
+)""")
+    last = rounds + 1
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), comp AS (
+  SELECT rid, len(ints) AS d, ((i - 1) * {parts}) // len(ints) AS part, i - 1 AS pos, ints[i] AS x
+  FROM kept, unnest(range(1, len(ints) + 1)) AS t(i)
+), first AS (
+  SELECT rid, len(ints) AS d, row_number() OVER (PARTITION BY len(ints) ORDER BY vec_id, ints) - 1 AS entry FROM kept
+  QUALIFY entry < {entries}
+), c0 AS (
+  SELECT c.d, c.part, f.entry, c.pos, c.x AS c FROM first f JOIN comp c USING (rid)
+), {", ".join(steps)}, coded AS (
+  SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(dist) AS BIGINT) AS error
+  FROM pick{last} GROUP BY rid
+), books AS (
+  SELECT d, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM c{rounds} GROUP BY d
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (rid) JOIN books ON books.d = len(kept.ints)
+"""
+
+
+ORACLE["op13_vector_codes"] = _lloyd_sql()
