@@ -23,8 +23,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallyport.llm.words import utf8
 
@@ -38,6 +40,9 @@ FEATURES = 1 << 20
 WHOLE = 2.0
 DECAY = 0.7
 MEMO_WORDS = 400_000
+#: rows and bytes of text whose words a task reads at once
+SLICE_ROWS = 500
+SLICE_BYTES = 4 << 20
 BLOCK = 4000
 _PUNCTUATION = string.punctuation.encode()
 _SPELLED = re.compile(rb"(?<!\S)(?:\S\s){2,}\S(?!\S)")
@@ -257,28 +262,43 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000) -> Model:
     return fit([t.encode() for _, t, _ in rows], [y for _, _, y in rows])
 
 
+def slices(batch: pa.RecordBatch, at: int, rows: int = SLICE_ROWS, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of ``batch`` of at most ``rows`` rows and ``limit`` bytes of the text at ``at`` (a longer text alone)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    begin = 0
+    while begin < len(sizes):
+        end, used = begin, 0
+        while end < len(sizes) and end - begin < rows and (end == begin or used + sizes[end] <= limit):
+            used += sizes[end]
+            end += 1
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score`` from 0 to 1. Null and empty texts have no word and score like the mildest word, near 0."""
+    """``docs`` with ``score`` from 0 to 1. Null and empty texts have no word and score like the mildest word, near 0.
+
+    Each Arrow batch is cut into slices of at most ``SLICE_ROWS`` rows and ``SLICE_BYTES`` of text before any word is
+    read, so a task holds the words of one slice at a time.
+    """
     docs = docs.drop("score", "predicted")
     names = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    schema = StructType(docs.schema.fields + [StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[bytes, float] = {}
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            bags = [sentence_words(t or b"") for t in utf8(batch.column(at))]
-            worst = np.empty(len(bags))
-            for start in range(0, len(bags), 500):
-                part = bags[start:start + 500]
+            for part in slices(batch, at):
+                bags = [sentence_words(t or b"") for t in utf8(part.column(at))]
                 if len(memo) > MEMO_WORDS:  # only a memo: what is forgotten is computed again
                     memo.clear()
-                new = sorted({w for bag in part for w in bag if w not in memo})
+                new = sorted({w for bag in bags for w in bag if w not in memo})
                 memo.update(_scored(new, model.table))
-                worst[start:start + 500] = [max(map(memo.__getitem__, bag)) if bag else -30.0 for bag in part]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.probability(worst))], [*names, "score"])
+                worst = np.array([max(map(memo.__getitem__, bag)) if bag else -30.0 for bag in bags], float)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.probability(worst))], [*names, "score"])
 
-    return docs.mapInArrow(run, f"{schema}, score double")
+    return docs.mapInArrow(run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 2000) -> DataFrame:

@@ -7,6 +7,7 @@ from collections import defaultdict
 import corpus_pipeline
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tallyport.llm import mixing, toxicity
 from tests.llm.samples import documents, folded, frame, plain, prose
 from tests.llm.test_searches import brute_components, different, later_places, shingles, without
@@ -189,3 +190,22 @@ def test_pipeline_of_nothing(spark, corpus):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, folder)
         assert docs.collect() == []
+
+
+def test_toxicity_slices_batches_by_rows_and_bytes():
+    import pyarrow as pa
+
+    texts = ["x" * 100] * 30 + [None, "y" * 5000, ""] + ["z"] * 2000
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    parts = list(toxicity.slices(batch, 0, rows=500, limit=1000))
+    assert sum(p.num_rows for p in parts) == len(texts)
+    assert all(p.num_rows <= 500 for p in parts)
+    assert all(sum(len(t or "") for t in p.column(0).to_pylist()) <= 1000 or p.num_rows == 1 for p in parts)
+    assert [t for p in parts for t in p.column(0).to_pylist()] == texts
+
+
+def test_toxicity_passes_columns_with_odd_names(spark):
+    rows, labels = labelled(120)
+    docs = frame(spark, rows).withColumn("a b", F.struct(F.lit(1).alias("c d")))
+    found = toxicity.toxicity(docs, spark.createDataFrame(labels, LABELS))
+    assert found.count() == len(rows) and "a b" in found.columns
