@@ -15,6 +15,7 @@ from typing import NamedTuple
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from tallyport.llm.words import folded_words, utf8
 
@@ -221,7 +222,12 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """
     docs = docs.drop("n_words", "places", "expressions", "score")
     names = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    places = ArrayType(StructType([StructField("start", LongType()), StructField("label", StringType()),
+                                   StructField("base", BooleanType())]))
+    expressions = ArrayType(StructType([StructField("text", StringType()), StructField("postfix", ArrayType(StringType())),
+                                        StructField("labels", ArrayType(StringType())), StructField("permissive", BooleanType())]))
+    schema = StructType(docs.schema.fields + [StructField("n_words", LongType()), StructField("places", places),
+                                              StructField("expressions", expressions), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases, tags = _phrase_automaton(), _automaton({t: t for t in TAGS})
@@ -234,6 +240,4 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
                  pa.array(expressions, _EXPRESSIONS), pa.array(score, pa.float64())],
                 [*names, "n_words", "places", "expressions", "score"])
 
-    return docs.mapInArrow(
-        run, f"{schema}, n_words bigint, places array<struct<start:bigint,label:string,base:boolean>>, "
-             "expressions array<struct<text:string,postfix:array<string>,labels:array<string>,permissive:boolean>>, score double")
+    return docs.mapInArrow(run, schema)

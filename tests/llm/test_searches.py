@@ -334,3 +334,11 @@ def test_probing_finds_every_code_within_the_radius():
     for radius in (0, 3, coder.radius, 20):
         for code in codes[:20]:
             assert index.within(code, radius).tolist() == np.flatnonzero(np.bitwise_count(codes ^ code) <= radius).tolist()
+
+
+def test_licenses_pass_columns_with_odd_names(spark):
+    from pyspark.sql import functions as F
+
+    docs = frame(spark).withColumn("a b", F.struct(F.lit(1).alias("c d")))
+    found = licenses.scan_licenses(docs.select("doc_id", "text", "a b"))
+    assert found.count() == len(documents()) and "a b" in found.columns
