@@ -51,3 +51,30 @@ def first_line(spark: SparkSession, path: str) -> str:
         return reader.readLine() or ""
     finally:
         stream.close()
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Removes a file or a folder with all it holds; False if there was nothing."""
+    hadoop_path, fs = _path(spark, path)
+    return bool(fs.delete(hadoop_path, True))
+
+
+def rename(spark: SparkSession, source: str, target: str) -> bool:
+    """Moves ``source`` to ``target``, which must not exist yet (checked by ``claim`` beforehand)."""
+    hadoop_source, fs = _path(spark, source)
+    return bool(fs.rename(hadoop_source, spark._jvm.org.apache.hadoop.fs.Path(target)))
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Creates the empty file ``path`` only if nothing is there: True for the one caller that made it.
+
+    The file system's create without overwrite fails for all but the first of several callers.
+    """
+    hadoop_path, fs = _path(spark, path)
+    try:
+        fs.create(hadoop_path, False).close()
+    except Exception as error:  # py4j wraps the file system's "already exists"
+        if fs.exists(hadoop_path):
+            return False
+        raise error
+    return True

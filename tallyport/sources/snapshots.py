@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,12 @@ from tallyport.sources.csv import read_delimited, write_csv
 # How the dates in snapshot names look.
 FOLDER_DATE = r"(\d{4}-\d{2}-\d{2})$"
 FILE_DATE = r"(\d{4}-\d{2}-\d{2}-\d{2}-\d{2}-\d{2})"
+# Names of the versions of a published table and of the markers that claim their numbers.
+VERSION = "v-{:09d}"
+VERSION_NAME = re.compile(r"v-(\d{9})")
+CLAIM = "_claim-{:09d}"
+CLAIM_NAME = re.compile(r"_claim-(\d{9})")
+KEEP_VERSIONS = 2
 
 
 # --- Extracts ----------------------------------------------------------------------------------
@@ -73,12 +80,54 @@ def newest_snapshot(
 
 # --- Published tables --------------------------------------------------------------------------
 
-def publish_table(df: DataFrame, columns: Sequence[str], path: str) -> None:
-    """Replaces all rows of a published table; its columns and their order stay fixed."""
-    df.select(*columns).write.mode("overwrite").parquet(path)
+def published_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions of a published table, ascending."""
+    if not files.exists(spark, path):
+        return []
+    found = [int(m.group(1)) for n in files.child_names(spark, path) if (m := VERSION_NAME.fullmatch(n))]
+    return sorted(v for v in found if files.exists(spark, f"{path.rstrip('/')}/{VERSION.format(v)}/_SUCCESS"))
+
+
+def _claimed(spark: SparkSession, path: str) -> list[int]:
+    if not files.exists(spark, path):
+        return []
+    return [int(m.group(1)) for n in files.child_names(spark, path) if (m := CLAIM_NAME.fullmatch(n))]
+
+
+def publish_table(df: DataFrame, columns: Sequence[str], path: str, keep: int = KEEP_VERSIONS) -> str:
+    """Replaces all rows of a published table; its columns and their order stay fixed. Returns the new version's path.
+
+    The rows are written to a staging folder first; only a finished write becomes a version, by claiming the next
+    number (exclusive creation of a marker, so two writers never share one) and renaming the folder to it. Readers of
+    ``published_table`` see the old rows or the new ones, never a part; a write that fails leaves the table as it was
+    and removes its staging folder. The ``keep`` newest versions stay, so readers still on the one before finish.
+    """
+    spark = df.sparkSession
+    root = path.rstrip("/")
+    staging = f"{root}/_staging-{uuid.uuid4().hex}"
+    try:
+        df.select(*columns).write.parquet(staging)
+    except Exception:
+        files.delete(spark, staging)
+        raise
+    number = max(published_versions(spark, root) + _claimed(spark, root), default=0) + 1
+    while not files.claim(spark, f"{root}/{CLAIM.format(number)}"):
+        number += 1
+    target = f"{root}/{VERSION.format(number)}"
+    if not files.rename(spark, staging, target):
+        files.delete(spark, staging)
+        raise OSError(f"could not move the new rows of {root} into place")
+    for old in published_versions(spark, root)[:-keep]:
+        files.delete(spark, f"{root}/{VERSION.format(old)}")
+        files.delete(spark, f"{root}/{CLAIM.format(old)}")
+    return target
 
 
 def published_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version; a folder written as one plain table before versions existed is read as it is."""
+    versions = published_versions(spark, path)
+    if versions:
+        return spark.read.parquet(f"{path.rstrip('/')}/{VERSION.format(versions[-1])}")
     return spark.read.parquet(path)
 
 
@@ -105,14 +154,29 @@ def next_version_label(existing: Sequence[str], base: str, on: dt.date | None =
 def write_version(df: DataFrame, path: str, base: str, on: dt.date | None = None) -> str:
     """Appends ``df`` as the next version of a dataset partitioned by ``version_label``.
 
-    Earlier labels come from the partition folders, so no stored row is read.
+    Earlier labels come from the partition folders and from the markers under ``_labels``, so no stored row is read.
+    A label is taken by creating its marker exclusively before any row is written: two writers at once get two labels.
+    Rows are written to a staging folder of their own and moved into ``version_label=<label>`` when complete, so
+    writers do not share Spark's temporary folder and a failed write adds no partition.
     """
     spark = df.sparkSession
-    names = files.child_names(spark, path) if files.exists(spark, path) else []
+    root = path.rstrip("/")
+    names = files.child_names(spark, root) if files.exists(spark, root) else []
     existing = [n.removeprefix("version_label=") for n in names if n.startswith("version_label=")]
+    if files.exists(spark, f"{root}/_labels"):
+        existing += files.child_names(spark, f"{root}/_labels")
     label = next_version_label(existing, base, on)
-    labelled = df.withColumn("version_label", F.lit(label))
-    labelled.write.mode("append").partitionBy("version_label").parquet(path)
+    while not files.claim(spark, f"{root}/_labels/{label}"):
+        existing.append(label)
+        label = next_version_label(existing, base, on)
+    staging = f"{root}/_staging-{uuid.uuid4().hex}"
+    try:
+        df.drop("version_label").write.parquet(staging)
+        if not files.rename(spark, staging, f"{root}/version_label={label}"):
+            raise OSError(f"could not move version {label} of {root} into place")
+    except Exception:
+        files.delete(spark, staging)
+        raise
     return label
 
 

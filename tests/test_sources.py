@@ -175,3 +175,50 @@ def test_versions(spark, counts, tmp_path):
     assert [snapshots.write_version(counts.limit(n), path, "t") for n in (1, 2)] == ["t_v001", "t_v002"]
     assert snapshots.write_version(counts, path, "t", dt.date(2024, 2, 9)) == "t_v003_20240209"
     assert [snapshots.read_version(spark, path, f"t_v00{n}").count() for n in (1, 2)] == [1, 2]
+
+
+def test_publish_that_fails_leaves_the_table_as_it_was(spark, counts, tmp_path):
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "t")
+    columns = ["nb_subscribers", "labo_name"]
+    snapshots.publish_table(counts, columns, path)
+    before = sorted(map(tuple, snapshots.published_table(spark, path).collect()), key=repr)
+    failing = counts.withColumn("nb_subscribers", F.when(F.col("nb_subscribers") > 1, F.raise_error(F.lit("disk gone")))
+                                .otherwise(F.col("nb_subscribers")))
+    with pytest.raises(Exception):
+        snapshots.publish_table(failing, columns, path)
+    assert sorted(map(tuple, snapshots.published_table(spark, path).collect()), key=repr) == before
+    assert not [p for p in (tmp_path / "t").iterdir() if p.name.startswith("_staging")]
+
+
+def test_publish_keeps_the_newest_versions(spark, counts, tmp_path):
+    path = str(tmp_path / "t")
+    for n in (1, 2, 3, 4):
+        snapshots.publish_table(counts.limit(n), ["nb_subscribers", "labo_name"], path)
+    assert snapshots.published_versions(spark, path) == [3, 4]
+    assert snapshots.published_table(spark, path).count() == min(4, counts.count())
+
+
+def test_published_table_reads_a_plain_folder(spark, counts, tmp_path):
+    path = str(tmp_path / "plain")
+    counts.write.parquet(path)
+    assert snapshots.published_table(spark, path).count() == counts.count()
+
+
+def test_claim_is_exclusive(spark, tmp_path):
+    from tallyport.sources import files
+
+    marker = str(tmp_path / "m" / "x")
+    assert files.claim(spark, marker) and not files.claim(spark, marker)
+
+
+def test_two_writers_at_once_get_two_labels(spark, counts, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "v")
+    with ThreadPoolExecutor(4) as pool:
+        labels = list(pool.map(lambda n: snapshots.write_version(counts.limit(n), path, "t"), [1, 2, 3, 4]))
+    assert sorted(labels) == ["t_v001", "t_v002", "t_v003", "t_v004"]
+    assert sorted(snapshots.read_version(spark, path, label).count() for label in labels) == sorted(
+        min(n, counts.count()) for n in [1, 2, 3, 4])
