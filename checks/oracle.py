@@ -150,14 +150,15 @@ def _line(columns) -> str:
     return " || ' | ' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
 
 
-def _blocks() -> str:
-    """The three searched report files, cut to their columns, joined to the institution names."""
+def _blocks(extra=()) -> str:
+    """The three searched report files (and ``extra`` ones), cut to their columns, joined to the institution names."""
     per_status = ("labo_name", "statut", "nb_subscribers")
     per_year = ("labo_name", "statut", "date_create_year", "nb_subscribers")
     parts = [
         (plan.USERS, REPORT_COLUMNS[plan.USERS], "usage_subscription"),
         (plan.PER_STATUS, per_status, "per_status"),
         (plan.PER_CREATE_YEAR, per_year, "per_create_year"),
+        *extra,
     ]
     selects = " UNION ALL ".join(
         f"""SELECT institution, {_text(file)} AS file, {_text(' | '.join(cols))} AS columns, {_line(cols)} AS line
@@ -444,3 +445,35 @@ ORACLE: dict[str, str] = {
     "log_last_lines": f"""
         WITH {_LOGS} SELECT log_file, line FROM lines ORDER BY log_file DESC, event_id DESC LIMIT 20""",
 }
+
+
+# The quarantine keys: a fourth file holds the rows per status whose count is not divisible by three; the others have a
+# cell too many and are set aside with their text as written (cells with a separator, quote or line break are quoted,
+# quotes doubled, empty texts written as two quotes).
+_RAGGED_EVERY = 3
+_PAGES = """
+        SELECT institution, file, page, pages,
+               institution || ' (' || CAST(page AS VARCHAR) || '/' || CAST(pages AS VARCHAR) || ')' AS title,
+               columns, string_agg(line, chr(10) ORDER BY rn) AS lines
+        FROM (SELECT *, CAST(ceil(rn / 10.0) AS INT) AS page, CAST(ceil(n / 10.0) AS INT) AS pages
+              FROM (SELECT *, row_number() OVER (PARTITION BY institution, file ORDER BY line) AS rn,
+                           count(*) OVER (PARTITION BY institution, file) AS n FROM blocks))
+        GROUP BY ALL"""
+
+
+def _written(cell: str) -> str:
+    text = f"CAST({cell} AS VARCHAR)"
+    return (f"CASE WHEN {cell} IS NULL THEN '' WHEN {text} = '' THEN '\"\"' "
+            f"WHEN regexp_matches({text}, '[|\"\\n\\r]') THEN '\"' || replace({text}, '\"', '\"\"') || '\"' ELSE {text} END")
+
+
+ORACLE["quarantined_report_pages"] = portal(_PAGES, _blocks([
+    ("stats_ragged.csv", ("labo_name", "statut", "nb_subscribers"),
+     f"(SELECT * FROM per_status WHERE nb_subscribers % {_RAGGED_EVERY} <> 0)"),
+]))
+ORACLE["report_quarantine"] = portal(f"""
+SELECT 'stats_ragged.csv' AS file, {_written('labo_name')} || '|' || {_written('statut')} || '|' || {_written('nb_subscribers')} || '|extra' AS line,
+       'cells do not fit the header' AS reason
+FROM per_status WHERE nb_subscribers % {_RAGGED_EVERY} = 0
+UNION ALL SELECT 'stats_empty.csv', NULL, 'no header'
+UNION ALL SELECT 'stats_headerless.csv', NULL, 'no header'""")

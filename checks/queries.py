@@ -15,7 +15,7 @@ from tallyport.operators import calendars, clean, metrics, paging, quality, repo
 from tallyport.plans import institution_statistics as plan
 from tallyport.plans.workbook import TABLES
 from tallyport.session import cut_lineage, scratch_path
-from tallyport.sources import csv, queries as sql, snapshots
+from tallyport.sources import csv, files, queries as sql, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -272,6 +272,50 @@ def report_pages(spark, sf_dir):
     return pages.withColumn("lines", F.array_join("lines", "\n"))
 
 
+# The files set aside by the quarantine key, and the rows of the ragged one that get a cell too many.
+RAGGED_FILE = "stats_ragged.csv"
+EMPTY_FILE = "stats_empty.csv"
+HEADERLESS_FILE = "stats_headerless.csv"
+RAGGED_EVERY = 3
+_TO_CSV = {"sep": "|", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _quarantine_folder(spark, sf_dir):
+    """The report folder with three more files: rows of one of them with a cell too many, one empty, one headerless."""
+    folder, schemas = _written_reports(spark, sf_dir)
+    per_status = metrics.subscribers_per_status(clean.subscription(portal_tables(spark, sf_dir), PORTAL_CHECK))
+    columns = per_status.columns
+    line = F.to_csv(F.struct(*columns), _TO_CSV)
+    extra = F.when(F.col("nb_subscribers") % RAGGED_EVERY == 0, F.concat(line, F.lit("|extra"))).otherwise(line)
+
+    def write_lines(header, name):
+        first = spark.createDataFrame([(header, 0)], "value string, k int")
+        body = per_status.select(extra.alias("value"), F.lit(1).alias("k"))
+        # one file, the header first: a sort, then the sorted ranges joined in order
+        first.unionByName(body).orderBy("k").coalesce(1).select("value").write.text(f"{folder}/{name}")
+
+    write_lines("|".join(columns), RAGGED_FILE)
+    write_lines("", HEADERLESS_FILE)
+    files.claim(spark, f"{folder}/{EMPTY_FILE}")
+    return folder, schemas | {RAGGED_FILE: per_status.schema}
+
+
+@query
+def quarantined_report_pages(spark, sf_dir):
+    """Report pages of a folder with bad rows and files: the good rows of all readable files are reported"""
+    names = search.distinct_names(portal_tables(spark, sf_dir).institution, "institution_name")
+    read = csv.read_pipe_folder_quarantined(spark, *_quarantine_folder(spark, sf_dir))
+    pages = reports.report_pages(reports.report_blocks(read.tables, names))
+    return pages.withColumn("lines", F.array_join("lines", "\n"))
+
+
+@query
+def report_quarantine(spark, sf_dir):
+    """What the quarantining reader set aside: rows with their file and text, and whole files"""
+    read = csv.read_pipe_folder_quarantined(spark, *_quarantine_folder(spark, sf_dir))
+    return read.bad_rows.unionByName(read.bad_files.withColumn("line", F.lit(None).cast("string")))
+
+
 @query
 def folder_scan(spark, sf_dir):
     """Rows per file and header layout of a scanned report folder"""

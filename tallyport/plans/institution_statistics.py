@@ -13,7 +13,7 @@ from tallyport.operators import clean, metrics, reports
 from tallyport.operators.clean import PortalTables
 from tallyport.operators.search import distinct_names
 from tallyport.plans.selection import check_selection, selected
-from tallyport.sources.csv import read_pipe_folder, write_pipe_csv
+from tallyport.sources.csv import read_pipe_folder, read_pipe_folder_quarantined, write_pipe_csv
 from tallyport.sources.snapshots import write_per_institution
 
 # The names of the result files.
@@ -99,9 +99,12 @@ def institution_statistics(
     write_per_institution(bars, f"{out}/charts/bars")
 
     names = metrics.positive_codes(found.laboratory).select("institution_name").distinct()
-    files = read_pipe_folder(usage.sparkSession, pages_input, schemas)
-    pages = reports.report_pages(reports.report_blocks(files, selected(names, institutions, None)))
-    write_per_institution(pages, f"{out}/pages", "institution")
+    read = read_pipe_folder_quarantined(usage.sparkSession, pages_input, schemas)
+    read.bad_rows.write.mode("overwrite").parquet(f"{out}/quarantine/rows")
+    read.bad_files.write.mode("overwrite").parquet(f"{out}/quarantine/files")
+    if read.tables:
+        pages = reports.report_pages(reports.report_blocks(read.tables, selected(names, institutions, None)))
+        write_per_institution(pages, f"{out}/pages", "institution")
     return found
 
 
@@ -117,3 +120,22 @@ def folder_report(
     else:
         names = spark.range(1).select(F.lit(institution).alias("institution_name"))
     return reports.report_pages(reports.report_blocks(read_pipe_folder(spark, folder), names))
+
+
+def folder_report_quarantined(
+    spark: SparkSession, folder: str, usage_log: DataFrame, institution: str | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``folder_report`` that goes on past bad files and rows: (pages, bad rows, bad files).
+
+    Bad rows are (file, line, reason), bad files (file, reason); see ``read_pipe_folder_quarantined``. A folder whose
+    every file is bad gives no pages.
+    """
+    if institution is None:
+        names = distinct_names(usage_log, "group_name")
+    else:
+        names = spark.range(1).select(F.lit(institution).alias("institution_name"))
+    read = read_pipe_folder_quarantined(spark, folder)
+    if not read.tables:
+        empty = spark.createDataFrame([], "institution string, file string, page int, pages int, title string, columns string, lines array<string>")
+        return empty, read.bad_rows, read.bad_files
+    return reports.report_pages(reports.report_blocks(read.tables, names)), read.bad_rows, read.bad_files

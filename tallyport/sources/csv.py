@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import csv as _csv
 from collections import defaultdict
 from collections.abc import Mapping
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyport.session import cut_lineage
 from tallyport.sources import files
 
 _RAGGED = "__ragged"
@@ -225,3 +228,99 @@ def scan_pipe_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[
     if scanned is None:
         raise FileNotFoundError(f"no readable file in {folder}: {skipped}")
     return scanned, skipped
+
+
+# --- Reading a folder with a quarantine ----------------------------------------------------------
+
+#: reasons given in the quarantine tables
+NO_HEADER = "no header"
+RAGGED = "cells do not fit the header"
+UNTYPED = "a cell does not fit its type"
+REPEATED = "repeated column names"
+
+
+class Quarantined(NamedTuple):
+    """Good rows by file, rows that could not be read (file, line, reason) and files left out (file, reason)."""
+
+    tables: dict[str, DataFrame]
+    bad_rows: DataFrame
+    bad_files: DataFrame
+
+
+def header_cells(line: str, sep: str = "|") -> list[str]:
+    """The column names of a header line, quotes and doubled quotes taken as the reader takes them."""
+    return next(_csv.reader([line], delimiter=sep, quotechar='"', doublequote=True), [])
+
+
+def _layouts(spark: SparkSession, folder: str, sep: str) -> tuple[dict[tuple[str, ...], list[str]], dict[str, str]]:
+    """Files by their header's names, and the files left out with the reason. Only first lines are read."""
+    layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    skipped: dict[str, str] = {}
+    for name in files.child_names(spark, folder):
+        if not name.endswith(".csv"):
+            continue
+        try:
+            header = files.first_line(spark, f"{folder.rstrip('/')}/{name}")
+        except Exception as error:  # an unreadable file must not stop the others
+            skipped[name] = str(error).splitlines()[0]
+            continue
+        cells = tuple(header_cells(header, sep)) if header.strip() else ()
+        if not cells:
+            skipped[name] = NO_HEADER
+        elif len(set(cells)) < len(cells):
+            skipped[name] = REPEATED
+        else:
+            layouts[cells].append(name)
+    return layouts, skipped
+
+
+def read_pipe_folder_quarantined(
+    spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType | str] | None = None, sep: str = "|"
+) -> Quarantined:
+    """The delimited tables of a folder by file name, with what could not be read set aside instead of failing.
+
+    Files with one header are read by one scan, written to the shared folder; each file's table is that copy filtered
+    by file. A row with fewer or more cells than its header goes to ``bad_rows`` with its text; so does, for a file
+    with a schema in ``schemas``, a row with a present cell that does not fit its type. Files without a header (empty,
+    or a blank first line), with repeated column names or that cannot be opened go to ``bad_files``. Missing cells
+    (``MISSING``) are NULL; without a schema the types are inferred from the good rows as by ``read_delimited``.
+    """
+    known = schemas or {}
+    layouts, skipped = _layouts(spark, folder, sep)
+    reader = spark.read.options(sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=_RAGGED, **_READ)
+    below = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+\.csv)(?:/[^/]+)?$", 1)
+    file_name = F.url_decode(F.replace(below, F.lit("+"), F.lit("%2B")))
+    tables: dict[str, DataFrame] = {}
+    bad_parts = []
+    for cells, names in sorted(layouts.items()):
+        schema = T.StructType([*(T.StructField(c, T.StringType()) for c in cells), T.StructField(_RAGGED, T.StringType())])
+        # written once: every file's table and the bad rows read the written scan, and Spark may not read the
+        # bad-row column of a text file by itself
+        rows = cut_lineage(reader.schema(schema).csv([f"{folder.rstrip('/')}/{n}" for n in names]).select(
+            file_name.alias("__file"), *[_cell(c) for c in cells], _RAGGED))
+        bad_parts.append(rows.where(F.col(_RAGGED).isNotNull()).select(
+            F.col("__file").alias("file"), F.col(_RAGGED).alias("line"), F.lit(RAGGED).alias("reason")))
+        good = rows.where(F.col(_RAGGED).isNull())
+        for name in names:
+            texts = good.where(F.col("__file") == F.lit(name)).select(
+                *[F.when(~_cell(c).isin(*MISSING), _cell(c)).alias(c) for c in cells])
+            if name in known:
+                fields = (T.StructType.fromDDL(known[name]) if isinstance(known[name], str) else known[name]).fields
+                typed = {f.name: _cell(f.name).try_cast(f.dataType) if f.name in cells else F.lit(None).cast(f.dataType)
+                         for f in fields}
+                fits = F.lit(True)
+                for f in fields:
+                    if f.name in cells:
+                        fits = fits & (_cell(f.name).isNull() | typed[f.name].isNotNull())
+                line = F.concat_ws(sep, *[F.coalesce(_cell(c), F.lit("")) for c in cells])
+                bad_parts.append(texts.where(~fits).select(F.lit(name).alias("file"), line.alias("line"), F.lit(UNTYPED).alias("reason")))
+                tables[name] = texts.where(fits).select(*[typed[f.name].alias(f.name) for f in fields])
+            else:
+                inferred = _inferred_types(texts, False)
+                tables[name] = texts.select(*[_cell(c).cast(kind).alias(c) for c, kind in inferred.items()])
+    empty_rows = spark.createDataFrame([], "file string, line string, reason string")
+    bad_rows = empty_rows
+    for part in bad_parts:
+        bad_rows = bad_rows.unionByName(part)
+    bad_files = spark.createDataFrame(sorted(skipped.items()), "file string, reason string")
+    return Quarantined(tables, bad_rows, bad_files)

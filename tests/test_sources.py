@@ -222,3 +222,48 @@ def test_two_writers_at_once_get_two_labels(spark, counts, tmp_path):
     assert sorted(labels) == ["t_v001", "t_v002", "t_v003", "t_v004"]
     assert sorted(snapshots.read_version(spark, path, label).count() for label in labels) == sorted(
         min(n, counts.count()) for n in [1, 2, 3, 4])
+
+
+def test_quarantined_folder_reports_bad_rows_and_files(spark, tmp_path):
+    folder = tmp_path / "reports"
+    folder.mkdir()
+    (folder / "good.csv").write_text('name|n\nAlpha|1\n"Be|ta"|2\nNA|3\n')
+    (folder / "ragged.csv").write_text("name|n\nGamma|4\nDelta|5|extra\nEps\n")
+    (folder / "typed.csv").write_text("name|n\nZeta|6\nEta|seven\n")
+    (folder / "empty.csv").write_text("")
+    (folder / "headerless.csv").write_text("\nTheta|8\n")
+    (folder / "twice.csv").write_text("a|a\n1|2\n")
+    (folder / "quoted.csv").write_text('"a|x"|b\n1|2\n')
+    (folder / "notes.txt").write_text("not read")
+    read = csv.read_pipe_folder_quarantined(spark, str(folder), {"typed.csv": "name string, n bigint"})
+    assert sorted(read.tables) == ["good.csv", "quoted.csv", "ragged.csv", "typed.csv"]
+    assert sorted(map(tuple, read.tables["good.csv"].collect()), key=repr) == [("Alpha", 1), ("Be|ta", 2), (None, 3)]
+    assert read.tables["quoted.csv"].columns == ["a|x", "b"]
+    assert [tuple(r) for r in read.tables["ragged.csv"].collect()] == [("Gamma", 4)]
+    assert [tuple(r) for r in read.tables["typed.csv"].collect()] == [("Zeta", 6)]
+    assert sorted(map(tuple, read.bad_rows.collect())) == [
+        ("ragged.csv", "Delta|5|extra", csv.RAGGED), ("ragged.csv", "Eps", csv.RAGGED), ("typed.csv", "Eta|seven", csv.UNTYPED)]
+    assert sorted(map(tuple, read.bad_files.collect())) == [
+        ("empty.csv", csv.NO_HEADER), ("headerless.csv", csv.NO_HEADER), ("twice.csv", csv.REPEATED)]
+
+
+def test_quarantined_folder_of_bad_files_only(spark, tmp_path):
+    folder = tmp_path / "bad"
+    folder.mkdir()
+    (folder / "empty.csv").write_text("")
+    read = csv.read_pipe_folder_quarantined(spark, str(folder))
+    assert read.tables == {} and read.bad_rows.count() == 0 and read.bad_files.count() == 1
+
+
+def test_folder_report_goes_on_past_a_bad_file(spark, tmp_path):
+    from tallyport.plans import institution_statistics as statistics
+
+    folder = tmp_path / "r"
+    folder.mkdir()
+    (folder / "a.csv").write_text("labo_name|n\nNorth lab|1\nSouth lab|2\n")
+    (folder / "b.csv").write_text("labo_name|n\nNorth lab|1|2\n")
+    (folder / "c.csv").write_text("")
+    log = spark.createDataFrame([("North lab",)], "group_name string")
+    pages, bad_rows, bad_files = statistics.folder_report_quarantined(spark, str(folder), log)
+    assert [(r["institution"], r["file"], r["lines"]) for r in pages.collect()] == [("north lab", "a.csv", ["North lab | 1"])]
+    assert bad_rows.count() == 1 and bad_files.count() == 1
