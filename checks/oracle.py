@@ -342,6 +342,9 @@ ORACLE: dict[str, str] = {
         SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
         WHERE o_orderstatus IN ('F', 'O')""",
     "snapshot_read_through": "SELECT *, 'saved' AS origin FROM customer",
+    "typed_snapshot_texts": """
+        SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'NA' WHEN 1 THEN 'null' WHEN 2 THEN '' WHEN 3 THEN 'None' ELSE source END AS label,
+               lang, 'saved' AS origin FROM documents""",
     "csv_text_roundtrip": """
         SELECT 'document' AS kind, doc_id AS id, text FROM documents
         UNION ALL SELECT 'page', page_id, html FROM pages""",

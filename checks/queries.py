@@ -373,6 +373,22 @@ def snapshot_read_through(spark, sf_dir):
     return snapshots.load_table(spark, customer.withColumn("origin", F.lit("new")), path, use_saved=True)
 
 
+# Texts that a CSV reader takes for missing cells, given to the documents by the rest of their id by 5.
+_MISSING_LOOKING = ("NA", "null", "", "None")
+
+
+@query
+def typed_snapshot_texts(spark, sf_dir):
+    """Texts that read as missing from a CSV (NA, null, empty, None) come back from a saved extract as they were"""
+    path = scratch_path(spark, "labels")
+    rest = F.col("doc_id") % 5
+    label = F.when(rest == 0, _MISSING_LOOKING[0]).when(rest == 1, _MISSING_LOOKING[1]).when(
+        rest == 2, _MISSING_LOOKING[2]).when(rest == 3, _MISSING_LOOKING[3]).otherwise(F.col("source"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", label.alias("label"), "lang")
+    snapshots.load_table(spark, docs.withColumn("origin", F.lit("saved")), path)
+    return snapshots.load_table(spark, docs.withColumn("origin", F.lit("new")), path, use_saved=True)
+
+
 @query
 def csv_text_roundtrip(spark, sf_dir):
     """All texts and pages, with their quotes, separators and line breaks, through both writers"""

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import re
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyport.functions.text import folder_slug
 from tallyport.sources import files
@@ -27,21 +29,43 @@ KEEP_VERSIONS = 2
 
 # --- Extracts ----------------------------------------------------------------------------------
 
+def typed_copy_path(path: str, schema: T.StructType) -> str:
+    """Where the typed copy of an extract at ``path`` lives for a table of ``schema``: a changed column or type
+    gives another place, so a copy of other columns is never taken for the table."""
+    fingerprint = hashlib.sha256(schema.json().encode()).hexdigest()[:16]
+    return f"{path.removesuffix('.csv')}_typed/{fingerprint}"
+
+
 def extract_table(spark: SparkSession, table: str | DataFrame, path: str) -> DataFrame:
-    """Saves a whole table as CSV at ``path`` and returns the table."""
+    """Saves a whole table as CSV at ``path``, with a typed Parquet copy beside it, and returns the table.
+
+    The copy is written first and the CSV from it, so the table is read once; the CSV is the extract others read,
+    the copy is what ``load_table`` reads back, with every text (``NA``, ``null`` and empty ones too) and type kept.
+    """
     rows = spark.table(table) if isinstance(table, str) else table
-    write_csv(rows, path)
+    target = path if path.endswith(".csv") else f"{path}.csv"
+    typed = typed_copy_path(target, rows.schema)
+    rows.write.mode("overwrite").parquet(typed)
+    write_csv(spark.read.parquet(typed), target)
     return rows
 
 
 def load_table(
     spark: SparkSession, table: str | DataFrame, path: str, use_saved: bool = False
 ) -> DataFrame:
-    """The saved copy if there is a finished one and it is asked for, else a new extract."""
+    """The saved copy if there is a finished one and it is asked for, else a new extract.
+
+    A saved extract is read from its typed copy when that copy has the table's columns and types; an extract saved
+    without one (before copies existed) is read from its CSV, where texts that stand for missing cells become NULL.
+    """
     target = path if path.endswith(".csv") else f"{path}.csv"
     if use_saved and files.has_rows_written(spark, target):
         schema = (spark.table(table) if isinstance(table, str) else table).schema
-        return read_delimited(spark, target, ",", schema)
+        typed = typed_copy_path(target, schema)
+        if files.has_rows_written(spark, typed):
+            return spark.read.schema(schema).parquet(typed)
+        if not files.exists(spark, typed.rsplit("/", 1)[0]):
+            return read_delimited(spark, target, ",", schema)
     return extract_table(spark, table, target)
 
 

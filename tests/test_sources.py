@@ -267,3 +267,27 @@ def test_folder_report_goes_on_past_a_bad_file(spark, tmp_path):
     pages, bad_rows, bad_files = statistics.folder_report_quarantined(spark, str(folder), log)
     assert [(r["institution"], r["file"], r["lines"]) for r in pages.collect()] == [("north lab", "a.csv", ["North lab | 1"])]
     assert bad_rows.count() == 1 and bad_files.count() == 1
+
+
+def test_saved_extract_keeps_texts_that_look_missing(spark, tmp_path):
+    rows = [(1, "NA"), (2, "null"), (3, ""), (4, "None"), (5, None), (6, "x")]
+    df = spark.createDataFrame(rows, "id bigint, label string")
+    path = str(tmp_path / "extract")
+    snapshots.load_table(spark, df, path)
+    again = snapshots.load_table(spark, spark.createDataFrame([(9, "new")], "id bigint, label string"), path, use_saved=True)
+    assert sorted(map(tuple, again.collect()), key=repr) == sorted(rows, key=repr)
+    assert files.has_rows_written(spark, f"{path}.csv")
+
+
+def test_saved_extract_of_other_columns_is_stale(spark, tmp_path):
+    path = str(tmp_path / "extract")
+    snapshots.load_table(spark, spark.createDataFrame([(1, "a")], "id bigint, label string"), path)
+    wider = spark.createDataFrame([(2, "b", 3.0)], "id bigint, label string, score double")
+    assert [tuple(r) for r in snapshots.load_table(spark, wider, path, use_saved=True).collect()] == [(2, "b", 3.0)]
+
+
+def test_extract_saved_without_copy_is_read_from_its_csv(spark, tmp_path):
+    path = str(tmp_path / "old.csv")
+    csv.write_csv(spark.createDataFrame([(1, "NA"), (2, "y")], "id bigint, label string"), path)
+    back = snapshots.load_table(spark, spark.createDataFrame([], "id bigint, label string"), path, use_saved=True)
+    assert sorted(map(tuple, back.collect()), key=repr) == [(1, None), (2, "y")]
