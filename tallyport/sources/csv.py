@@ -66,6 +66,34 @@ def _inferred_types(texts: DataFrame, whole_doubles: bool) -> dict[str, str]:
     }
 
 
+def split_by_line_breaks(spark: SparkSession, paths: str | list[str]) -> tuple[list[str], list[str]]:
+    """The files under ``paths`` whose every line holds an even number of quotes, and the others.
+
+    A cell with a line break opens its quotes on one line and closes them on another, so that line has an odd number;
+    a file without such a line has no cell across lines and can be read in parts by several tasks. One splittable pass
+    over the lines, one row per file to the driver. Files without any line are in neither list.
+    """
+    # the metadata path is a URI: its escapes are undone, a plus stays a plus
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    lines = spark.read.text(paths).select(
+        file.alias("file"),
+        ((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1).alias("odd"))
+    found = lines.groupBy("file").agg(F.bool_or("odd").alias("odd")).collect()
+    return sorted(r["file"] for r in found if not r["odd"]), sorted(r["file"] for r in found if r["odd"])
+
+
+def _read_text_cells(reader, spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``reader.csv(paths)``, with files proven to have no cell across lines read in parts."""
+    whole_lines, spanning = split_by_line_breaks(spark, paths)
+    if not whole_lines:  # the reader keeps options set on it: each read names its own
+        return reader.option("multiLine", True).csv(paths)
+    parted = reader.option("multiLine", False).csv(whole_lines)
+    if spanning:
+        parted = parted.unionByName(reader.option("multiLine", True).csv(spanning))
+    reader.option("multiLine", True)
+    return parted
+
+
 def read_delimited(
     spark: SparkSession,
     paths: str | list[str],
@@ -76,7 +104,8 @@ def read_delimited(
     """Rows of delimited files with a header.
 
     Cells are read as text, missing ones become NULL, and the rest is cast, so a value that does not
-    fit its type is an error and not NULL. So are a row with fewer or more cells than the header, and a
+    fit its type is an error and not NULL. Files whose lines all hold an even number of quotes (no cell spans lines)
+    are read in parts by several tasks, the others by one task a file. So are a row with fewer or more cells than the header, and a
     header that differs from the schema or from file to file. Without a schema the types are inferred from all values,
     for which the files are read once more.
     """
@@ -86,11 +115,12 @@ def read_delimited(
         fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
         types = {f.name: f.dataType.simpleString() for f in fields}
         reader = reader.schema(T.StructType([T.StructField(name, T.StringType()) for name in types]))
-    raw = reader.csv(paths)
+    raw = reader.csv(paths) if schema is None else _read_text_cells(reader, spark, paths)
     if not raw.columns:
         return raw
     if schema is None:  # read with the first file's names, every other file must have the same
-        raw = reader.schema(T.StructType([T.StructField(name, T.StringType()) for name in raw.columns])).csv(paths)
+        named = reader.schema(T.StructType([T.StructField(name, T.StringType()) for name in raw.columns]))
+        raw = _read_text_cells(named, spark, paths)
     texts = raw.select(*[
         F.when(~_cell(name).isin(*MISSING), _cell(name)).alias(name) for name in raw.columns
     ])

@@ -291,3 +291,22 @@ def test_extract_saved_without_copy_is_read_from_its_csv(spark, tmp_path):
     csv.write_csv(spark.createDataFrame([(1, "NA"), (2, "y")], "id bigint, label string"), path)
     back = snapshots.load_table(spark, spark.createDataFrame([], "id bigint, label string"), path, use_saved=True)
     assert sorted(map(tuple, back.collect()), key=repr) == [(1, None), (2, "y")]
+
+
+def test_files_without_cells_across_lines_are_read_in_parts(spark, tmp_path):
+    plain, quoted = tmp_path / "plain.csv", tmp_path / "quoted.csv"
+    plain.write_text("id|name\n" + "".join(f"{i}|name {i} with some padding to make the file longer\n" for i in range(60000)))
+    quoted.write_text('id|name\n1|"two\nlines"\n2|"a ""quote"""\n')
+    assert csv.split_by_line_breaks(spark, [str(plain), str(quoted)]) == ([f"file:{plain}"], [f"file:{quoted}"])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    try:
+        rows = csv.read_pipe_csv(spark, str(plain), "id bigint, name string")
+        assert rows.rdd.getNumPartitions() > 1
+        assert rows.count() == 60000 and rows.agg({"id": "sum"}).first()[0] == sum(range(60000))
+        both = csv.read_delimited(spark, [str(plain), str(quoted)], "|", "id bigint, name string")
+        assert sorted(r["name"] for r in both.where("id < 3").collect()) == ["a \"quote\"", "name 0 with some padding to make the file longer",
+                                                                            "name 1 with some padding to make the file longer", "name 2 with some padding to make the file longer",
+                                                                            "two\nlines"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
