@@ -43,6 +43,8 @@ SEEK_FOOTER = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 FRAME_BYTES = 1 << 18
 LEVEL = 3
+#: ids of repeated texts a task remembers
+MEMO_IDS = 4_000_000
 _INDEX_ROW = struct.Struct("<qBIII")
 _SEEK_ROW = struct.Struct("<III")
 
@@ -58,10 +60,26 @@ def tokenizer(path: str):
     return _tokenizers[path]
 
 
-def encode(texts: list[str | None], path: str, end_id: int) -> list[np.ndarray]:
-    """Ids of each text (null: none) without special tokens, ``end_id`` appended."""
-    out = tokenizer(path).encode_batch([t or "" for t in texts], add_special_tokens=False)
-    return [np.append(np.asarray(e.ids, np.uint32), np.uint32(end_id)) for e in out]
+class Memo(dict):
+    """Ids by the 128-bit hash of their text, with the number of ids held."""
+
+    held = 0
+
+
+def encode(texts: list[str | None], path: str, end_id: int, memo: Memo | None = None) -> list[np.ndarray]:
+    """Ids of each text (null: none) without special tokens, ``end_id`` appended.
+
+    ``memo`` (128-bit hash of a text -> its ids) lets copies of a text be encoded once; it is bounded by the caller.
+    """
+    memo = Memo() if memo is None else memo
+    keys = [xxhash.xxh3_128_digest((t or "").encode()) for t in texts]
+    fresh = {k: t or "" for k, t in zip(keys, texts) if k not in memo}
+    if fresh:
+        out = tokenizer(path).encode_batch(list(fresh.values()), add_special_tokens=False)
+        for k, e in zip(fresh, out):
+            memo[k] = np.append(np.asarray(e.ids, np.uint32), np.uint32(end_id))
+            memo.held += len(memo[k])
+    return [memo[k] for k in keys]
 
 
 class TokenWriter:
@@ -168,10 +186,14 @@ def _writer(folder: str, path: str, end_id: int, frame_bytes: int):
         fs.create_dir(base, recursive=True)
         with fs.open_output_stream(temporary) as out:
             writer = TokenWriter(out, frame_bytes)
+            memo = Memo()
             for frame in frames:
                 texts, keys = frame["text"].tolist(), frame["doc_id"].tolist()
                 for start in range(0, len(texts), 256):
-                    for key, ids in zip(keys[start:start + 256], encode(texts[start:start + 256], path, end_id)):
+                    if memo.held > MEMO_IDS:  # only a memo: what is forgotten is encoded again
+                        memo.clear()
+                        memo.held = 0
+                    for key, ids in zip(keys[start:start + 256], encode(texts[start:start + 256], path, end_id, memo)):
                         writer.add(None if pd.isna(key) else int(key), ids)
                         docs, n_ids = docs + 1, n_ids + len(ids)
             writer.finish()
@@ -184,13 +206,16 @@ def _writer(folder: str, path: str, end_id: int, frame_bytes: int):
 def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 0, frame_bytes: int = FRAME_BYTES) -> DataFrame:
     """Encode ``doc_id`` and ``text`` of ``docs`` into token files under ``folder``, in ascending ``doc_id`` order.
 
-    Order: doc_id ascending with null ids last; equal ids by text (null first), then by their place in the input.
+    Order: doc_id ascending with null ids last; equal ids by the 64-bit xxhash of their text (null first), then by
+    their place in the input.
     Every row is a document (repeated rows are written repeatedly; a null text has only ``end_id``). An empty table
     writes one file per task that received rows, possibly none. Other columns are not read. Returns one row per file:
     its task number (files sort by it), documents and ids.
     """
-    order = [F.asc_nulls_last("doc_id"), F.asc_nulls_first("text"), F.col("__at")]
-    placed = docs.select("doc_id", "text").withColumn("__at", F.monotonically_increasing_id())
+    # the range bounds are drawn from a sample of these keys on the driver: a hash stands for the text there
+    order = [F.asc_nulls_last("doc_id"), F.asc_nulls_first("__text"), F.col("__at")]
+    placed = docs.select("doc_id", "text").withColumn("__text", F.when(F.col("text").isNotNull(), F.xxhash64("text"))).withColumn(
+        "__at", F.monotonically_increasing_id())
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = placed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
     return ranged.mapInPandas(_writer(folder, path, end_id, frame_bytes), "part int, n_docs long, n_ids long")

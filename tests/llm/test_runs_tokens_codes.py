@@ -106,7 +106,15 @@ def test_token_query_equals_direct_encoding(spark, tmp_path):
     token_files.write_token_files(df, folder, vocabulary()).collect()
     got = token_files.read_token_files(spark, folder).orderBy("start").collect()
     tok = Tokenizer.from_file(vocabulary())
-    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or ""))
+    import xxhash
+
+    def text_hash(t):  # Spark's xxhash64 (seed 42, signed); null texts first
+        if t is None:
+            return (0, 0)
+        value = xxhash.xxh64_intdigest(t.encode(), 42)
+        return (1, value - (1 << 64) * (value >= 1 << 63))
+
+    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, text_hash(r[1])))
     start = 0
     assert len(got) == len(ordered)
     for row, want in zip(got, ordered):
