@@ -361,7 +361,7 @@ ORACLE: dict[str, str] = {
         FROM usage WHERE institution_name = 'NATION_7'"""),
     "text_search": f"""
         SELECT DISTINCT doc_id, institution FROM documents
-        JOIN (SELECT DISTINCT {_norm('substr(text, 1, 40)')} AS institution FROM benchmark)
+        JOIN (SELECT DISTINCT {_norm('text')} AS institution FROM benchmark)
              ON contains({_norm('text')}, institution) WHERE institution <> ''""",
     "table_refresh_roundtrip": workbook("""
         SELECT year, month_full, month2, CAST(sum(nb_codes) AS BIGINT) AS sum_of_codes

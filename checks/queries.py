@@ -432,8 +432,8 @@ def one_institution(spark, sf_dir):
 
 @query
 def text_search(spark, sf_dir):
-    """Whole documents that mention the beginning of a benchmark item"""
-    names = table(spark, sf_dir, "benchmark").select(F.substring("text", 1, 40).alias("institution_name"))
+    """Whole documents that contain a whole benchmark item"""
+    names = table(spark, sf_dir, "benchmark").select(F.col("text").alias("institution_name"))
     return search.contains_join(table(spark, sf_dir, "documents").select("doc_id", "text"), names, ["text"]).select("doc_id", "institution")
 
 
