@@ -480,3 +480,5 @@ SELECT 'stats_ragged.csv' AS file, {_written('labo_name')} || '|' || {_written('
 FROM per_status WHERE nb_subscribers % {_RAGGED_EVERY} = 0
 UNION ALL SELECT 'stats_empty.csv', NULL, 'no header'
 UNION ALL SELECT 'stats_headerless.csv', NULL, 'no header'""")
+
+ORACLE["incremental_codes_month"] = ORACLE["codes_per_institution_month"]

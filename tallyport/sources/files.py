@@ -78,3 +78,22 @@ def claim(spark: SparkSession, path: str) -> bool:
             return False
         raise error
     return True
+
+
+def leaf_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, size, modification time) of every file below ``path``, hidden ones (``_``, ``.``) left out.
+
+    Only the file system's listing is read, never a row; its length is the number of files.
+    """
+    hadoop_path, fs = _path(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    base = fs.makeQualified(hadoop_path).toString().rstrip("/")
+    found, listing = [], fs.listFiles(hadoop_path, True)
+    while listing.hasNext():
+        status = listing.next()
+        name = status.getPath().toString()
+        relative = name.removeprefix(base)
+        if not any(part.startswith(("_", ".")) for part in relative.split("/") if part):
+            found.append((name, int(status.getLen()), int(status.getModificationTime())))
+    return sorted(found)
