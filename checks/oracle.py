@@ -482,3 +482,13 @@ UNION ALL SELECT 'stats_empty.csv', NULL, 'no header'
 UNION ALL SELECT 'stats_headerless.csv', NULL, 'no header'""")
 
 ORACLE["incremental_codes_month"] = ORACLE["codes_per_institution_month"]
+ORACLE["users_rollup_bitmaps"] = portal("""
+SELECT 'month' AS level, institution_name, year, month, count(*) AS nb_users
+FROM (SELECT DISTINCT institution_name, user_name, year, month FROM usage WHERE year IS NOT NULL AND month IS NOT NULL)
+WHERE institution_name IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'year', institution_name, year, CAST(NULL AS INTEGER), count(*)
+FROM (SELECT DISTINCT institution_name, user_name, year FROM usage WHERE year IS NOT NULL AND month IS NOT NULL)
+WHERE institution_name IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'all', institution_name, CAST(NULL AS INTEGER), CAST(NULL AS INTEGER), count(*)
+FROM (SELECT DISTINCT institution_name, user_name FROM usage WHERE year IS NOT NULL AND month IS NOT NULL)
+WHERE institution_name IS NOT NULL GROUP BY ALL""")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import PIVOT_YEARS, PORTAL_CHECK, WORKBOOK_CHECK, portal_tables, table
 from tallyport.functions import dates, labels, text
-from tallyport.operators import calendars, clean, metrics, paging, quality, reports, runlogs, search
+from tallyport.operators import calendars, clean, metrics, paging, quality, reports, runlogs, search, user_sets
 from tallyport.plans import incremental, institution_statistics as plan
 from tallyport.plans.workbook import TABLES
 from tallyport.session import cut_lineage, scratch_path
@@ -91,6 +91,12 @@ def incremental_codes_month(spark, sf_dir):
     return metrics.sorted_nulls_last(found, ["institution_name", "year", "month"])
 
 
+@query
+def users_rollup_bitmaps(spark, sf_dir):
+    """Users per institution and month, year and all time, from bitmaps merged upwards: the log is grouped once"""
+    return user_sets.user_rollup(_lines(spark, sf_dir))
+
+
 @query
 def users_per_institution_month(spark, sf_dir):
     return metrics.users_per_institution_month(_lines(spark, sf_dir))
