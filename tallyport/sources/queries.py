@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+import decimal
+import math
+import re
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,32 +26,109 @@ def run_query(
     return spark.sql(query, args=dict(params) if params else None, **frames)
 
 
+#: rows a JDBC task asks the database for at a time (drivers default to as few as 10, or to all rows)
+FETCH_SIZE = 10_000
+_MARKER = re.compile(r"(?<![:\w]):([A-Za-z_]\w*)")
+
+
+def sql_literal(value: Any) -> str:
+    """``value`` as a typed SQL literal: text quoted with inner quotes doubled, dates and times with their keyword."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, int):
+        return str(value)
+    if isinstance(value, float):
+        if not math.isfinite(value):
+            raise ValueError(f"{value} has no SQL literal")
+        return repr(value)
+    if isinstance(value, decimal.Decimal):
+        return str(value)
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    raise TypeError(f"no SQL literal for {type(value).__name__}")
+
+
+def bind(query: str, params: Mapping[str, Any]) -> str:
+    """``query`` with each ``:name`` marker replaced by the literal of ``params[name]``.
+
+    Every marker needs a value and every value a marker; a name inside quotes is not a marker (quoted texts are
+    left as they are).
+    """
+    pieces = re.split(r"('(?:[^']|'')*')", query)
+    used = set()
+
+    def replace(found):
+        name = found.group(1)
+        if name not in params:
+            raise KeyError(f"no value for :{name}")
+        used.add(name)
+        return sql_literal(params[name])
+
+    bound = "".join(p if i % 2 else _MARKER.sub(replace, p) for i, p in enumerate(pieces))
+    unused = set(params) - used
+    if unused:
+        raise KeyError(f"values without a marker: {sorted(unused)}")
+    return bound
+
+
+def jdbc_options(
+    options: Mapping[str, str],
+    query: str | None = None,
+    table: str | None = None,
+    split: tuple[str, int, int, int] | None = None,
+    params: Mapping[str, Any] | None = None,
+    fetch_size: int = FETCH_SIZE,
+) -> dict[str, str]:
+    """The reader options of ``read_database``, without reading."""
+    if bool(query) == bool(table):
+        raise ValueError("give either a query or a table")
+    if params and not query:
+        raise ValueError("parameters need a query")
+    settings = {"fetchsize": str(fetch_size), **options}
+    if query:
+        text = bind(query, params or {})
+        if not split:
+            return settings | {"query": text}
+        # a split needs a table: the query becomes a derived one
+        table = f"({text}) split_source"
+    if split:
+        column, lower, upper, partitions = split
+        settings |= {"partitionColumn": column, "lowerBound": str(lower), "upperBound": str(upper),
+                     "numPartitions": str(partitions)}
+    return settings | {"dbtable": table}
+
+
 def read_database(
     spark: SparkSession,
     options: Mapping[str, str],
     query: str | None = None,
     table: str | None = None,
     split: tuple[str, int, int, int] | None = None,
+    params: Mapping[str, Any] | None = None,
+    predicates: Sequence[str] | None = None,
+    fetch_size: int = FETCH_SIZE,
 ) -> DataFrame:
     """Table or query result of a JDBC source; ``options`` hold url, driver and credentials.
 
-    ``split`` is (column, lower, upper, partitions): the database is then read by that many tasks,
-    each with its own range of the column. It needs ``table``.
+    ``params`` are bound to ``:name`` markers of ``query`` as typed literals. ``split`` is (column, lower, upper,
+    partitions): the source is then read by that many tasks, each with its own range of the column; a query is read
+    as a derived table for it. ``predicates`` instead give one task per condition (they should cover each row once).
+    Every task fetches ``fetch_size`` rows at a time.
     """
-    if bool(query) == bool(table):
-        raise ValueError("give either a query or a table")
-    reader = spark.read.format("jdbc").options(**options)
-    if query:
+    if predicates:
         if split:
-            raise ValueError("a split needs a table")
-        return reader.option("query", query).load()
-    if split:
-        column, lower, upper, partitions = split
-        reader = reader.options(
-            partitionColumn=column, lowerBound=str(lower), upperBound=str(upper),
-            numPartitions=str(partitions),
-        )
-    return reader.option("dbtable", table).load()
+            raise ValueError("give a split or predicates, not both")
+        settings = jdbc_options(options, query, table, None, params, fetch_size)
+        source = settings.pop("dbtable", None) or f"({settings.pop('query')}) predicate_source"
+        url = settings.pop("url")
+        return spark.read.jdbc(url, source, predicates=list(predicates), properties=settings)
+    return spark.read.format("jdbc").options(**jdbc_options(options, query, table, split, params, fetch_size)).load()
 
 
 # The portal's tables and columns, as (table, {our column: their column}).

@@ -104,7 +104,8 @@ def test_queries(spark, counts, rows):
 
 
 def test_read_database_checks_its_arguments(spark):
-    for kwargs in ({}, {"query": "SELECT 1", "table": "t"}, {"query": "SELECT 1", "split": ("id", 0, 9, 3)}):
+    # a query may now be split (as a derived table); a split with predicates may not
+    for kwargs in ({}, {"query": "SELECT 1", "table": "t"}, {"table": "t", "split": ("id", 0, 9, 3), "predicates": ["id < 5"]}):
         with pytest.raises(ValueError):
             queries.read_database(spark, {}, **kwargs)
 
@@ -310,3 +311,31 @@ def test_files_without_cells_across_lines_are_read_in_parts(spark, tmp_path):
                                                                             "two\nlines"]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_parameters_become_typed_literals():
+    import datetime as dt
+
+    text = "SELECT * FROM t WHERE name = :name AND day >= :day AND n < :n AND note <> ':kept' AND at < :at AND x IS :nothing"
+    bound = queries.bind(text, {"name": "O'Brien", "day": dt.date(2024, 1, 2), "n": 5,
+                                "at": dt.datetime(2024, 1, 2, 3, 4, 5), "nothing": None})
+    assert bound == ("SELECT * FROM t WHERE name = 'O''Brien' AND day >= DATE '2024-01-02' AND n < 5 AND note <> ':kept' "
+                     "AND at < TIMESTAMP '2024-01-02 03:04:05' AND x IS NULL")
+    assert queries.bind("SELECT a::int FROM t", {}) == "SELECT a::int FROM t"
+    with pytest.raises(KeyError):
+        queries.bind("SELECT :a", {})
+    with pytest.raises(KeyError):
+        queries.bind("SELECT 1", {"a": 1})
+    with pytest.raises(ValueError):
+        queries.sql_literal(float("nan"))
+
+
+def test_jdbc_options_split_a_query_and_fetch_in_blocks():
+    base = {"url": "jdbc:x://h/db", "user": "u"}
+    assert queries.jdbc_options(base, table="t") == {"fetchsize": "10000", "url": "jdbc:x://h/db", "user": "u", "dbtable": "t"}
+    split = queries.jdbc_options(base, query="SELECT id FROM t WHERE y = :y", split=("id", 1, 100, 4), params={"y": 2024})
+    assert split["dbtable"] == "(SELECT id FROM t WHERE y = 2024) split_source"
+    assert (split["partitionColumn"], split["numPartitions"]) == ("id", "4")
+    assert queries.jdbc_options(base | {"fetchsize": "50"}, table="t")["fetchsize"] == "50"
+    with pytest.raises(ValueError):
+        queries.jdbc_options(base, table="t", params={"y": 1})
