@@ -492,3 +492,4 @@ WHERE institution_name IS NOT NULL GROUP BY ALL
 UNION ALL SELECT 'all', institution_name, CAST(NULL AS INTEGER), CAST(NULL AS INTEGER), count(*)
 FROM (SELECT DISTINCT institution_name, user_name FROM usage WHERE year IS NOT NULL AND month IS NOT NULL)
 WHERE institution_name IS NOT NULL GROUP BY ALL""")
+ORACLE["usage_subscription_bucketed"] = ORACLE["usage_subscription"]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from checks.fixtures import PIVOT_YEARS, PORTAL_CHECK, WORKBOOK_CHECK, portal_tables, table
 from tallyport.functions import dates, labels, text
 from tallyport.operators import calendars, clean, metrics, paging, quality, reports, runlogs, search, user_sets
-from tallyport.plans import incremental, institution_statistics as plan
+from tallyport.plans import bucketed, incremental, institution_statistics as plan
 from tallyport.plans.workbook import TABLES
 from tallyport.session import cut_lineage, scratch_path
 from tallyport.sources import csv, files, queries as sql, snapshots
@@ -66,6 +66,14 @@ def usage_subscription(spark, sf_dir):
     return clean.usage_subscription(usage, cut_lineage(_subscription(spark, sf_dir)), keys=usage)
 
 
+@query
+def usage_subscription_bucketed(spark, sf_dir):
+    """Usage lines with subscriptions, joined from tables bucketed by user: no exchange at the join"""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    usage, subscriptions = bucketed.stage_for_user_joins(_usage(spark, sf_dir), _subscription(spark, sf_dir), parts)
+    return bucketed.usage_subscription_bucketed(usage, subscriptions)
+
+
 # --- Metrics ---
 
 @query
