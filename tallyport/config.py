@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 # --- Fixed values: they must read exactly like this for results to be right. ---
 
@@ -90,30 +90,38 @@ _STAFF_USERS = (1178, 1922, 367, 274)
 class Profile:
     """What a report leaves out and which years it covers.
 
-    ``years`` wins over ``first_year``; with neither, every year is kept.
+    ``years`` wins over ``first_year``; with neither, every year is kept. By default nothing is left out: the
+    portal's own groups and accounts belong to its profiles below, not to the class.
     """
 
-    excluded_groups: tuple[str, ...] = _STAFF_GROUPS
-    excluded_users: tuple[int, ...] = _STAFF_USERS + (594, 896, 904)
-    excluded_subscriber_institutions: tuple[str, ...] = _STAFF_GROUPS + ("probesys2 probesys",)
-    excluded_subscribers: tuple[int, ...] = _STAFF_USERS
+    excluded_groups: tuple[str, ...] = ()
+    excluded_users: tuple[int, ...] = ()
+    excluded_subscriber_institutions: tuple[str, ...] = ()
+    excluded_subscribers: tuple[int, ...] = ()
     require_institution: bool = True
     years: tuple[int, ...] | None = None
-    first_year: int | None = 2020
+    first_year: int | None = None
     institution: str | None = None
 
 
 #: per-institution statistics
-PORTAL = Profile()
+PORTAL = Profile(
+    excluded_groups=_STAFF_GROUPS,
+    excluded_users=_STAFF_USERS + (594, 896, 904),
+    excluded_subscriber_institutions=_STAFF_GROUPS + ("probesys2 probesys",),
+    excluded_subscribers=_STAFF_USERS,
+    first_year=2020,
+)
 
 #: the same without a year bound; years are chosen per institution afterwards
-OPEN_YEARS = Profile(first_year=None)
+OPEN_YEARS = replace(PORTAL, first_year=None)
 
 #: the earlier rules: fewer excluded users, unknown institutions stay in
-LEGACY = Profile(excluded_users=_STAFF_USERS, require_institution=False)
+LEGACY = replace(PORTAL, excluded_users=_STAFF_USERS, require_institution=False)
 
 #: monthly workbook tables
 WORKBOOK = Profile(
+    excluded_groups=_STAFF_GROUPS,
     excluded_users=(1178, 1922, 367),
     excluded_subscriber_institutions=_STAFF_GROUPS,
     excluded_subscribers=(1178, 1922, 367),
