@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyport.config import PORTAL, WORKBOOK
+from tallyport.config import LEGACY, OPEN_YEARS, PORTAL, WORKBOOK
 from tallyport.operators.clean import PortalTables
 
 SOURCE_NAMES = (
@@ -28,6 +28,10 @@ WORKBOOK_CHECK = replace(
     excluded_subscriber_institutions=("NATION_7",), years=(1996, 1997, 1999, 2000),
 )
 PIVOT_YEARS = WORKBOOK_CHECK.years
+OPEN_YEARS_CHECK = replace(OPEN_YEARS, excluded_groups=PORTAL_CHECK.excluded_groups,
+                           excluded_subscriber_institutions=PORTAL_CHECK.excluded_subscriber_institutions)
+LEGACY_CHECK = replace(LEGACY, excluded_groups=PORTAL_CHECK.excluded_groups,
+                       excluded_subscriber_institutions=PORTAL_CHECK.excluded_subscriber_institutions, first_year=1996)
 
 
 _SCHEMAS: dict[str, StructType] = {}

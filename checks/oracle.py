@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.fixtures import PIVOT_YEARS, PORTAL_CHECK, SOURCE_NAMES, WORKBOOK_CHECK
+from checks.fixtures import LEGACY_CHECK, OPEN_YEARS_CHECK, PIVOT_YEARS, PORTAL_CHECK, SOURCE_NAMES, WORKBOOK_CHECK
 from tallyport.config import CONTINENTS, MONTHS, REPORT_COLUMNS, SOURCE_RULES, Profile
 from tallyport.plans import institution_statistics as plan
 
@@ -64,8 +64,10 @@ def _relations(profile: Profile) -> str:
     """The cleaned relations of a profile as CTEs, following the portal's own SELECTs."""
     if profile.years is not None:
         in_years = f"year(requested_at) IN ({_list(profile.years)})"
-    else:
+    elif profile.first_year is not None:
         in_years = f"year(requested_at) >= {profile.first_year}"
+    else:
+        in_years = "TRUE"
     named = "AND group_name IS NOT NULL AND i.institution_name IS NOT NULL" if profile.require_institution else ""
     return f"""{TABLES},
 usage AS (
@@ -493,3 +495,13 @@ UNION ALL SELECT 'all', institution_name, CAST(NULL AS INTEGER), CAST(NULL AS IN
 FROM (SELECT DISTINCT institution_name, user_name FROM usage WHERE year IS NOT NULL AND month IS NOT NULL)
 WHERE institution_name IS NOT NULL GROUP BY ALL""")
 ORACLE["usage_subscription_bucketed"] = ORACLE["usage_subscription"]
+
+
+def profiled(select: str, profile) -> str:
+    return f"WITH {_relations(profile)}\n{select}"
+
+
+ORACLE["codes_per_institution_month_open_years"] = profiled(
+    "SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM codes_by_month ORDER BY institution_name, year, month",
+    OPEN_YEARS_CHECK)
+ORACLE["users_per_institution_month_legacy"] = profiled("SELECT * FROM users_by_month", LEGACY_CHECK)

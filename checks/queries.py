@@ -9,7 +9,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixtures import PIVOT_YEARS, PORTAL_CHECK, WORKBOOK_CHECK, portal_tables, table
+from checks.fixtures import LEGACY_CHECK, OPEN_YEARS_CHECK, PIVOT_YEARS, PORTAL_CHECK, WORKBOOK_CHECK, portal_tables, table
 from tallyport.functions import dates, labels, text
 from tallyport.operators import calendars, clean, metrics, paging, quality, reports, runlogs, search, user_sets
 from tallyport.plans import bucketed, incremental, institution_statistics as plan
@@ -105,6 +105,19 @@ def users_rollup_bitmaps(spark, sf_dir):
     return user_sets.user_rollup(_lines(spark, sf_dir))
 
 
+@query
+def codes_per_institution_month_open_years(spark, sf_dir):
+    """Monthly codes under the profile without a year bound"""
+    found = metrics.codes_per_institution_month(_usage(spark, sf_dir, OPEN_YEARS_CHECK))
+    return metrics.sorted_nulls_last(found, ["institution_name", "year", "month"])
+
+
+@query
+def users_per_institution_month_legacy(spark, sf_dir):
+    """Monthly users under the earlier rules: fewer excluded users, lines of unknown institutions stay"""
+    return metrics.users_per_institution_month(_lines(spark, sf_dir, LEGACY_CHECK))
+
+
 @query
 def users_per_institution_month(spark, sf_dir):
     return metrics.users_per_institution_month(_lines(spark, sf_dir))
