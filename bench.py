@@ -40,7 +40,7 @@ def corpus_queries() -> dict:
     try:
         from tallyport.llm.queries import QUERIES as CORPUS_QUERIES
     except ModuleNotFoundError as missing:
-        if not (missing.name or "").startswith(("tallyport.llm", "corpus_pipeline")):
+        if missing.name not in ("tallyport.llm", "corpus_pipeline"):
             raise
         return {}
     return {name: CORPUS_QUERIES[name] for name in CORPUS if name in CORPUS_QUERIES}
