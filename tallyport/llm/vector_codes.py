@@ -32,7 +32,7 @@ PARTS = 16
 ENTRIES = 64
 ROUNDS = 2
 SCALE = 256
-LEAF = 32
+LEAF = 256
 
 
 def usable(df: DataFrame, vector: str = "embedding") -> DataFrame:
