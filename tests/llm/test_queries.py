@@ -9,7 +9,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
     assert set(ORACLE) < set(QUERIES)
 
 
