@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import csv as _csv
 from collections import defaultdict
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +17,7 @@ from tallyport.session import cut_lineage
 from tallyport.sources import files
 
 _RAGGED = "__ragged"
+_MISFIT = "__misfit"
 SEPARATORS = (",", ";", "\t")
 
 # Texts that stand for a missing cell, and for a boolean.
@@ -42,6 +45,21 @@ def _cell(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _decoded(path: Column) -> Column:
+    """A metadata path is a URI: its escapes are undone, a plus stays a plus."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def _child_name() -> Column:
+    """Name of the folder's child a scanned row comes from: its file, or the written folder that holds its part file.
+
+    Evaluated for every row, so it looks at the last two levels of the path only, without a pattern.
+    """
+    path = F.col("_metadata.file_path")
+    last, level = F.substring_index(path, "/", -1), F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return _decoded(F.when(F.endswith(level, F.lit(".csv")) & (F.length(level) > 4), level).otherwise(last))
+
+
 def _inferred_types(texts: DataFrame, whole_doubles: bool) -> dict[str, str]:
     """bigint, double, boolean or string per column, the first that holds all values; one pass.
 
@@ -73,12 +91,11 @@ def split_by_line_breaks(spark: SparkSession, paths: str | list[str]) -> tuple[l
     a file without such a line has no cell across lines and can be read in parts by several tasks. One splittable pass
     over the lines, one row per file to the driver. Files without any line are in neither list.
     """
-    # the metadata path is a URI: its escapes are undone, a plus stays a plus
-    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     lines = spark.read.text(paths).select(
-        file.alias("file"),
+        F.col("_metadata.file_path").alias("path"),
         ((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1).alias("odd"))
-    found = lines.groupBy("file").agg(F.bool_or("odd").alias("odd")).collect()
+    # the path is decoded once per file, not per line
+    found = lines.groupBy("path").agg(F.bool_or("odd").alias("odd")).select(_decoded(F.col("path")).alias("file"), "odd").collect()
     return sorted(r["file"] for r in found if not r["odd"]), sorted(r["file"] for r in found if r["odd"])
 
 
@@ -304,13 +321,29 @@ def _layouts(spark: SparkSession, folder: str, sep: str) -> tuple[dict[tuple[str
     return layouts, skipped
 
 
+def _misfit(cells: Sequence[str], typed_fields: Mapping[str, list[T.StructField]]) -> Column:
+    """Whether a present cell of the row does not fit its type; never for a file without a schema, never null.
+
+    Texts always fit and are not looked at. A cell is compared with the missing ones only if its cast fails.
+    """
+    same: dict[tuple, list[str]] = defaultdict(list)
+    for name, fields in typed_fields.items():
+        same[tuple((f.name, f.dataType) for f in fields if f.name in cells and not isinstance(f.dataType, T.StringType))].append(name)
+    found = F.lit(False)
+    for checked, names in same.items():
+        bad = [_cell(c).isNotNull() & _cell(c).try_cast(kind).isNull() & ~_cell(c).isin(*MISSING) for c, kind in checked]
+        if bad:
+            found = F.when(F.col("__file").isin(names), reduce(or_, bad)).otherwise(found)
+    return found
+
+
 def read_pipe_folder_quarantined(
     spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType | str] | None = None, sep: str = "|"
 ) -> Quarantined:
     """The delimited tables of a folder by file name, with what could not be read set aside instead of failing.
 
-    Files with one header are read by one scan, written to the shared folder; each file's table is that copy filtered
-    by file. A row with fewer or more cells than its header goes to ``bad_rows`` with its text; so does, for a file
+    Files with one header are read by one scan, written to the shared folder with a mark on rows that do not fit their
+    file's schema; each file's table is that copy filtered by file, and bad rows are found by their marks. A row with fewer or more cells than its header goes to ``bad_rows`` with its text; so does, for a file
     with a schema in ``schemas``, a row with a present cell that does not fit its type. Files without a header (empty,
     or a blank first line), with repeated column names or that cannot be opened go to ``bad_files``. Missing cells
     (``MISSING``) are NULL; without a schema the types are inferred from the good rows as by ``read_delimited``.
@@ -318,34 +351,34 @@ def read_pipe_folder_quarantined(
     known = schemas or {}
     layouts, skipped = _layouts(spark, folder, sep)
     reader = spark.read.options(sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=_RAGGED, **_READ)
-    below = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+\.csv)(?:/[^/]+)?$", 1)
-    file_name = F.url_decode(F.replace(below, F.lit("+"), F.lit("%2B")))
     tables: dict[str, DataFrame] = {}
     bad_parts = []
     for cells, names in sorted(layouts.items()):
         schema = T.StructType([*(T.StructField(c, T.StringType()) for c in cells), T.StructField(_RAGGED, T.StringType())])
+        typed_fields = {n: (T.StructType.fromDDL(known[n]) if isinstance(known[n], str) else known[n]).fields
+                        for n in names if n in known}
         # written once: every file's table and the bad rows read the written scan, and Spark may not read the
         # bad-row column of a text file by itself
-        rows = cut_lineage(reader.schema(schema).csv([f"{folder.rstrip('/')}/{n}" for n in names]).select(
-            file_name.alias("__file"), *[_cell(c) for c in cells], _RAGGED))
+        scanned = reader.schema(schema).csv([f"{folder.rstrip('/')}/{n}" for n in names]).select(
+            _child_name().alias("__file"), *[_cell(c) for c in cells], _RAGGED)
+        rows = cut_lineage(scanned.withColumn(_MISFIT, _misfit(cells, typed_fields)))
         bad_parts.append(rows.where(F.col(_RAGGED).isNotNull()).select(
             F.col("__file").alias("file"), F.col(_RAGGED).alias("line"), F.lit(RAGGED).alias("reason")))
         good = rows.where(F.col(_RAGGED).isNull())
+        present = [F.when(~_cell(c).isin(*MISSING), _cell(c)).alias(c) for c in cells]
         for name in names:
-            texts = good.where(F.col("__file") == F.lit(name)).select(
-                *[F.when(~_cell(c).isin(*MISSING), _cell(c)).alias(c) for c in cells])
+            of_file = good.where(F.col("__file") == F.lit(name))
             if name in known:
-                fields = (T.StructType.fromDDL(known[name]) if isinstance(known[name], str) else known[name]).fields
+                fields = typed_fields[name]
                 typed = {f.name: _cell(f.name).try_cast(f.dataType) if f.name in cells else F.lit(None).cast(f.dataType)
                          for f in fields}
-                fits = F.lit(True)
-                for f in fields:
-                    if f.name in cells:
-                        fits = fits & (_cell(f.name).isNull() | typed[f.name].isNotNull())
                 line = F.concat_ws(sep, *[F.coalesce(_cell(c), F.lit("")) for c in cells])
-                bad_parts.append(texts.where(~fits).select(F.lit(name).alias("file"), line.alias("line"), F.lit(UNTYPED).alias("reason")))
-                tables[name] = texts.where(fits).select(*[typed[f.name].alias(f.name) for f in fields])
+                bad_parts.append(of_file.where(F.col(_MISFIT)).select(*present).select(
+                    F.lit(name).alias("file"), line.alias("line"), F.lit(UNTYPED).alias("reason")))
+                tables[name] = of_file.where(~F.col(_MISFIT)).select(*present).select(
+                    *[typed[f.name].alias(f.name) for f in fields])
             else:
+                texts = of_file.select(*present)
                 inferred = _inferred_types(texts, False)
                 tables[name] = texts.select(*[_cell(c).cast(kind).alias(c) for c, kind in inferred.items()])
     empty_rows = spark.createDataFrame([], "file string, line string, reason string")
