@@ -327,7 +327,8 @@ _TO_CSV = {"sep": "|", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "
 def _quarantine_folder(spark, sf_dir):
     """The report folder with three more files: rows of one of them with a cell too many, one empty, one headerless."""
     folder, schemas = _written_reports(spark, sf_dir)
-    per_status = metrics.subscribers_per_status(clean.subscription(portal_tables(spark, sf_dir), PORTAL_CHECK))
+    # staged: a few rows, written to two files, each of which sorts them into ranges
+    per_status = cut_lineage(metrics.subscribers_per_status(clean.subscription(portal_tables(spark, sf_dir), PORTAL_CHECK)))
     columns = per_status.columns
     line = F.to_csv(F.struct(*columns), _TO_CSV)
     extra = F.when(F.col("nb_subscribers") % RAGGED_EVERY == 0, F.concat(line, F.lit("|extra"))).otherwise(line)
