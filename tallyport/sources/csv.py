@@ -232,7 +232,8 @@ def scan_pipe_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[
 
     Files with one header are read together, and columns a layout lacks are NULL. The second value
     names the files that were skipped, with the reason: unreadable, without header, or with a row that has
-    fewer or more cells than the header, which takes one more pass to find.
+    fewer or more cells than the header. The texts are parsed once, into a copy in the shared folder: bad rows are
+    counted there and the rows read from there.
     """
     layouts: dict[str, list[str]] = defaultdict(list)
     skipped: dict[str, str] = {}
@@ -255,22 +256,18 @@ def scan_pipe_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[
     for header, names in sorted(layouts.items()):
         fields = [T.StructField(c, T.StringType()) for c in header.split("|")]
         schema = T.StructType([*fields, T.StructField(_RAGGED, T.StringType())])
-        # a written folder and a single file are both named by the level below ``folder``
-        below = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+\.csv)(?:/[^/]+)?$", 1)
         reader = spark.read.options(sep="|", columnNameOfCorruptRecord=_RAGGED, **_READ).schema(schema)
-
-        def rows_of(some):
-            return reader.csv([f"{folder.rstrip('/')}/{n}" for n in some]).select(
-                F.url_decode(F.replace(below, F.lit("+"), F.lit("%2B"))).alias("file"), "*")
-
-        first = F.col(f"`{fields[0].name}`")
-        ragged = rows_of(names).groupBy("file").agg(
-            F.count(first).alias("cells"), F.count(_RAGGED).alias("bad")).filter("bad > 0").collect()
-        skipped.update({r["file"]: f"{r['bad']} rows do not fit the header" for r in ragged})
-        names = [n for n in names if n not in skipped]
-        if not names:
+        # a written folder and a single file are both named by the level below ``folder``; the copy's columns are
+        # numbered, as a header may hold any names
+        numbered = [f"c{i}" for i in range(len(fields))]
+        copy = cut_lineage(reader.csv([f"{folder.rstrip('/')}/{n}" for n in names]).select(
+            _child_name().alias("file"), "*").toDF("file", *numbered, _RAGGED))
+        ragged = copy.where(F.col(_RAGGED).isNotNull()).groupBy("file").count().collect()
+        skipped.update({r["file"]: f"{r['count']} rows do not fit the header" for r in ragged})
+        if not any(n not in skipped for n in names):
             continue
-        rows = rows_of(names).drop(_RAGGED)
+        good = copy.where(~F.col("file").isin([r["file"] for r in ragged])) if ragged else copy
+        rows = good.drop(_RAGGED).toDF("file", *[f.name for f in fields])
         scanned = rows if scanned is None else scanned.unionByName(rows, allowMissingColumns=True)
     if scanned is None:
         raise FileNotFoundError(f"no readable file in {folder}: {skipped}")

@@ -345,6 +345,23 @@ def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_folder_scan_parses_its_texts_once(spark, tmp_path, rows):
+    folder = tmp_path / "in"
+    (folder / "written +1.csv").mkdir(parents=True)
+    (folder / "written +1.csv" / "part-0.csv").write_text("a b|c,(d)\n1|2\n\"x\ny\"|\n")
+    (folder / "plain.csv").write_text("a b|c,(d)\n3|4\n")
+    (folder / "ragged.csv").write_text("a b|c,(d)\n5|6\n7\n8|9|10\n")
+    (folder / "other.csv").write_text("e\n11\n")
+    scanned, skipped = csv.scan_pipe_folder(spark, str(folder))
+    assert scanned.columns == ["file", "a b", "c,(d)", "e"]
+    assert rows(scanned) == sorted([
+        ("written +1.csv", "1", "2", None), ("written +1.csv", "x\ny", None, None), ("plain.csv", "3", "4", None),
+        ("other.csv", None, None, "11")], key=repr)
+    assert skipped == {"ragged.csv": "2 rows do not fit the header"}
+    # the rows come from the copy that was written when bad rows were counted, not from a second parse
+    assert "] csv" not in _plan(scanned) and "] parquet" in _plan(scanned)
+
+
 def test_quarantine_marks_misfits_when_it_scans(spark, tmp_path, rows):
     folder = tmp_path / "in"
     folder.mkdir()
