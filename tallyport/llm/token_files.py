@@ -23,9 +23,12 @@ read back by one task per file.
 from __future__ import annotations
 
 import io
+import json
+import re
 import struct
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -45,6 +48,12 @@ FRAME_BYTES = 1 << 18
 LEVEL = 3
 #: ids of repeated texts a task remembers
 MEMO_IDS = 4_000_000
+#: pieces of texts a worker remembers, and the longest of them in characters
+MEMO_PIECES = 400_000
+LONGEST_PIECE = 64
+# Characters that no definition of white space includes, and blanks between two of them.
+_INK = "!-~\u00a1-\u167f\u2010-\u2027\u2030-\u205e\u2070-\u2fff\u3001-\ud7ff\U00010000-\U0010ffff"
+_CUT = re.compile(f" (?<=[{_INK}] )(?=[{_INK}])")
 _INDEX_ROW = struct.Struct("<qBIII")
 _SEEK_ROW = struct.Struct("<III")
 
@@ -60,6 +69,52 @@ def tokenizer(path: str):
     return _tokenizers[path]
 
 
+_pieces: dict[str, dict[str, bytes]] = {}
+_cuttable: dict[str, bool] = {}
+
+
+def cuttable(path: str) -> bool:
+    """Whether a text's ids are those of its pieces (``_CUT``), one after another.
+
+    So it is for byte-level BPE with that pre-tokenizer's own pattern: no part of it goes on into a single blank or
+    looks past one, so a part always begins at a single blank, and merges stay within a part. Nothing before (a
+    normalizer, added tokens with blanks) or after it may see more than a part.
+    """
+    if path not in _cuttable:
+        spec = json.loads(tokenizer(path).to_str())
+        split, after = spec.get("pre_tokenizer") or {}, spec.get("post_processor")
+        _cuttable[path] = (
+            not any(spec.get(k) for k in ("normalizer", "truncation", "padding"))
+            and split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+            and spec["model"].get("type") == "BPE" and not spec["model"].get("dropout")
+            and (after is None or after.get("type") == "ByteLevel")
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in spec["added_tokens"]))
+    return _cuttable[path]
+
+
+def _encoded(texts: list[str], path: str) -> list[bytes]:
+    """Ids of each text as little-endian unsigned 32-bit integers; the tokenizer sees a piece once per worker, if it can."""
+    def batch(some: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, "<u4").tobytes() for e in tokenizer(path).encode_batch(some, add_special_tokens=False)]
+
+    if not cuttable(path):
+        return batch(texts)
+    known = _pieces.setdefault(path, {})
+    if len(known) > MEMO_PIECES:  # only a memo: what is forgotten is encoded again
+        known.clear()
+    cut = []
+    for text in texts:
+        first, *others = _CUT.split(text)
+        cut.append([first, *[" " + other for other in others]])
+    fresh = [p for p in set(chain.from_iterable(cut)) if p not in known]
+    known.update(zip(fresh, batch(fresh)))
+    out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+    for piece in fresh:
+        if len(piece) > LONGEST_PIECE:
+            del known[piece]
+    return out
+
+
 class Memo(dict):
     """Ids by the 128-bit hash of their text, with the number of ids held."""
 
@@ -75,9 +130,9 @@ def encode(texts: list[str | None], path: str, end_id: int, memo: Memo | None =
     keys = [xxhash.xxh3_128_digest((t or "").encode()) for t in texts]
     fresh = {k: t or "" for k, t in zip(keys, texts) if k not in memo}
     if fresh:
-        out = tokenizer(path).encode_batch(list(fresh.values()), add_special_tokens=False)
-        for k, e in zip(fresh, out):
-            memo[k] = np.append(np.asarray(e.ids, np.uint32), np.uint32(end_id))
+        end = np.uint32(end_id).astype("<u4").tobytes()
+        for k, ids in zip(fresh, _encoded(list(fresh.values()), path)):
+            memo[k] = np.frombuffer(ids + end, "<u4")
             memo.held += len(memo[k])
     return [memo[k] for k in keys]
 

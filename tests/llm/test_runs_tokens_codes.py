@@ -123,6 +123,39 @@ def test_token_query_equals_direct_encoding(spark, tmp_path):
         start += len(ids)
 
 
+def test_pieces_give_the_ids_of_whole_texts_and_are_encoded_once(monkeypatch, tmp_path):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(vocabulary())
+    draw = random.Random(3)
+    parts = ["a", "don't", "It's", "x1", "é", "ß9", "漢字", "…", "—", "😀", " ", "  ", "\n", "\t", "\r\n", "\u00a0", "\u3000", "\u180e", "\u200b", "\u2028",
+             "\u0085", "\x1c", "\ufeff", "'", "'s", " 's", "<|endoftext|>", " <|endoftext|> ", "<|endof", "!?", "\x00", "e\u0301", "z" * 80]
+    texts = ["", " ", None] + ["".join(draw.choice(parts) + draw.choice(["", " ", " "]) for _ in range(draw.randint(1, 30))) for _ in range(3000)]
+    monkeypatch.setattr(token_files, "MEMO_PIECES", 500)  # forgets on the way
+    for start in range(0, len(texts), 100):
+        for text, ids in zip(texts[start:start + 100], token_files.encode(texts[start:start + 100], vocabulary(), 0)):
+            assert ids.tolist() == tok.encode(text or "", add_special_tokens=False).ids + [0]
+
+    seen = []
+
+    class Counting:
+        def encode_batch(self, some, **rest):
+            seen.extend(some)
+            return tok.encode_batch(some, **rest)
+
+        def to_str(self):
+            return tok.to_str()
+
+    monkeypatch.setitem(token_files._tokenizers, "counted", Counting())
+    token_files.encode(["one two two", "two one two two"], "counted", 0)
+    token_files.encode(["one two three"], "counted", 0)
+    assert sorted(seen) == [" one", " three", " two", "one", "two"]
+    # a tokenizer that may look past a blank gets whole texts
+    spec = str(tmp_path / "prefixed.json")
+    open(spec, "w").write(tok.to_str().replace('"add_prefix_space":false', '"add_prefix_space":true'))
+    assert not token_files.cuttable(spec) and token_files.cuttable(vocabulary())
+
+
 def test_token_files_of_an_empty_table(spark, tmp_path):
     empty = spark.createDataFrame([], "doc_id long, text string")
     folder = str(tmp_path / "none")
