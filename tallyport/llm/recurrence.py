@@ -2,8 +2,8 @@
 
 Every window of ``window`` words has one anchor, its smallest ``k``-gram by hash, so equal windows have equal anchors.
 Only anchors are shuffled in full, about one for each ``(window - k) / 2`` words; windows are looked at where
-their anchor recurs. The windows of one anchor start at consecutive words; together they are a stretch. Equal
-stretches, as copies have them by thousands, are summed up before anything is done with their windows.
+their anchor recurs. The windows of one anchor start at consecutive words; together they are a stretch. A stretch whose
+words also occur earlier, as copies have them by thousands, needs no further look: all its windows start earlier too.
 """
 
 from __future__ import annotations
@@ -12,13 +12,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyport.llm.columns import small
-from tallyport.llm.words import WordHashes, plain_words, signed, utf8, window_hashes
-from tallyport.session import cut_lineage
+from tallyport.llm.words import WordHashes, plain_words, signed, span_hashes, utf8, window_hashes
+
+
+def place() -> Column:
+    """``doc_id`` for comparisons: a missing one counts as smaller than all others."""
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63)))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -27,7 +29,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     A missing id counts as smaller than all others.
     """
     return docs.filter("text IS NOT NULL").select(
-        F.xxhash64("doc_id", "text").alias("key"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("doc_id"), "text")
+        F.xxhash64("doc_id", "text").alias("key"), place().alias("doc_id"), "text")
 
 
 def anchor_starts(hashes: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,72 +92,58 @@ def recurring_anchors(docs: DataFrame, window: int, k: int) -> DataFrame:
     return ordered.mapInArrow(recur, "key bigint, number int").groupBy("key").agg(F.collect_set("number").alias("places"))
 
 
-def stretches(docs: DataFrame, window: int, k: int, with_words: bool) -> DataFrame:
-    """``stretch`` (hash of its words), ``anchor``, ``doc_id``, ``key``, ``start``, ``size`` (windows) and ``words``.
+def recurring_stretches(docs: DataFrame, window: int, k: int) -> DataFrame:
+    """``key``, ``start`` and ``size`` (windows) of stretches that may hold a repeated window; ``docs`` as from ``keyed``.
 
-    One row for each recurring anchor of each document; ``words`` is null unless asked for.
+    Those whose words start earlier in another stretch have no ``anchor``. The others are the first of their words, and
+    another stretch of different words has their ``anchor``. Earlier is what is smaller by ``doc_id``, ``key`` and ``start``.
+    Stretches come sorted by anchor; a task holds two rows over from batch to batch, never a group.
     """
-    marks = cut_lineage(recurring_anchors(docs, window, k))
-    marked = docs.join(small(marks), "key")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
         for batch in batches:
-            for begin in range(0, batch.num_rows, 200):
-                part = batch.slice(begin, 200)
-                out: list[list] = [[] for _ in range(7)]
-                for key, doc, text, places in zip(
-                        part.column(0).to_pylist(), part.column(1).to_pylist(), utf8(part.column(2)), part.column(3).to_pylist()):
-                    words = plain_words(text)
-                    hashes = memo.of(words)
+            keys, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            for begin in range(0, len(keys), 500):
+                out: list[list[np.ndarray]] = [[] for _ in range(6)]
+                for key, doc, text in zip(keys[begin:begin + 500], ids[begin:begin + 500], utf8(batch.column(2).slice(begin, 500))):
+                    hashes = memo.of(plain_words(text))
                     at, first, size = anchor_starts(hashes, window, k)
-                    grams = signed(window_hashes(hashes, k))
-                    for place in sorted(places):
-                        start, n = int(first[place]), int(size[place])
-                        phrase = b" ".join(words[start:start + n + window - 1])
-                        row = (xxhash.xxh3_64_intdigest(phrase) - 2**63, int(grams[at[place]]), doc, key, start, n, phrase if with_words else None)
-                        for column, value in zip(out, row):
-                            column.append(value)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, (pa.int64(),) * 4 + (pa.int32(),) * 2 + (pa.binary(),))],
-                    ["stretch", "anchor", "doc_id", "key", "start", "size", "words"])
-
-    return marked.select("key", "doc_id", "text", "places").mapInArrow(
-        cut, "stretch bigint, anchor bigint, doc_id bigint, key bigint, start int, size int, words binary")
-
-
-def distinct_stretches(found: DataFrame) -> DataFrame:
-    """One row per different stretch with its ``first`` occurrence, the ``last_doc`` and the number ``n`` of occurrences."""
-    return found.groupBy("stretch", "anchor", "size").agg(
-        F.min(F.struct("doc_id", "key", "start")).alias("first"), F.max("doc_id").alias("last_doc"), F.count("*").alias("n"),
-        F.first("words").alias("words"))
-
-
-def recurring_windows(distinct: DataFrame, window: int) -> DataFrame:
-    """``hash``, ``anchor``, ``first`` (earliest start) and ``last_doc`` of every window that starts at least twice.
+                    if len(at):
+                        row = (signed(window_hashes(hashes, k)[at]), signed(span_hashes(hashes, first, size + window - 1)), np.full(len(at), doc),
+                               np.full(len(at), key), first.astype(np.int32), size.astype(np.int32))
+                        for column, values in zip(out, row):
+                            column.append(values)
+                if out[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["anchor", "stretch", "doc_id", "key", "start", "size"])
+
+    def told(columns: list[np.ndarray], rows: np.ndarray, first: bool) -> pa.RecordBatch:
+        anchor, _, _, key, start, size = (c[rows] for c in columns)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(key), pa.array(start), pa.array(size), pa.array(anchor, mask=np.full(len(rows), not first))], ["key", "start", "size", "anchor"])
 
-    ``distinct`` has words. Each different stretch counts for all its occurrences.
-    """
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
+    def recur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = held = None  # the row before; an anchor's first row, until a stretch of other words has that anchor
         for batch in batches:
-            for begin in range(0, batch.num_rows, 2000):
-                part = batch.slice(begin, 2000)
-                hashes = [window_hashes(memo.of(w.split()), window) for w in part.column("words").to_pylist()]
-                sizes = [len(h) for h in hashes]
-                if not sum(sizes):
-                    continue
-                offset = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
-                repeat = lambda c: np.repeat(part.column(c).to_numpy(zero_copy_only=False), sizes)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(np.concatenate(hashes))), pa.array(repeat("anchor")), pa.array(repeat("doc_id")),
-                     pa.array(repeat("key")), pa.array((repeat("start") + offset).astype(np.int32)), pa.array(repeat("last_doc")),
-                     pa.array(repeat("n"))], ["hash", "anchor", "doc_id", "key", "start", "last_doc", "n"])
-
-    rows = distinct.select("anchor", "first.doc_id", "first.key", "first.start", "last_doc", "n", "words").mapInArrow(
-        explode, "hash bigint, anchor bigint, doc_id bigint, key bigint, start int, last_doc bigint, n bigint")
-    return (
-        rows.groupBy("hash", "anchor").agg(
-            F.min(F.struct("doc_id", "key", "start")).alias("first"), F.max("last_doc").alias("last_doc"), F.sum("n").alias("n"))
-        .filter("n > 1").drop("n")
-    )
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+            before = [np.concatenate([c[:1] if last is None else l, c[:-1]]) for c, l in zip(columns, last or columns)]
+            changed = [c != b for c, b in zip(columns[:5], before)]
+            for flags in changed:
+                flags[0] |= last is None
+            new_anchor, again = changed[0], ~np.any(changed, axis=0)  # again: a row of the input that repeats
+            new = new_anchor | changed[1]
+            yield told(columns, np.flatnonzero(~new & ~again), False)
+            firsts, opens = [c[new] for c in columns], new_anchor[new]
+            if held is not None:
+                firsts, opens = [np.concatenate([h, f]) for h, f in zip(held, firsts)], np.concatenate([[True], opens])
+            # the first row of an anchor counts if the next first row has the same anchor
+            keep = ~opens
+            keep[:-1] |= ~opens[1:]
+            held = [f[-1:] for f in firsts] if len(opens) and opens[-1] else None
+            yield told(firsts, np.flatnonzero(keep), True)
+            last = [c[-1:] for c in columns]
+
+    found = docs.select("key", "doc_id", "text").mapInArrow(find, "anchor bigint, stretch bigint, doc_id bigint, key bigint, start int, size int")
+    ordered = found.repartition("anchor").sortWithinPartitions("anchor", "stretch", "doc_id", "key", "start")
+    return ordered.mapInArrow(recur, "key bigint, start int, size int, anchor bigint")

@@ -56,6 +56,19 @@ def window_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     return mixed(out)
 
 
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def span_hashes(hashes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hash of ``lengths`` words from each of ``starts``."""
+    if len(_powers[0]) < len(hashes):
+        inverse = np.uint64(pow(int(_MULTIPLIER), -1, 2**64))
+        for i, factor in enumerate((_MULTIPLIER, inverse)):
+            _powers[i] = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(hashes) * 5 // 4, factor)]))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes * _powers[0][:len(hashes)])])
+    return mixed((sums[starts + lengths] - sums[starts]) * _powers[1][starts] + lengths.astype(np.uint64))
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A one-to-one scramble of 64-bit values."""
     out = values ^ (values >> np.uint64(30))

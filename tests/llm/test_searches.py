@@ -53,6 +53,32 @@ def test_phrases_with_a_shard_for_each_part(spark, monkeypatch):
     test_phrases(spark)
 
 
+@pytest.mark.parametrize("shard", [3, 4000])
+def test_phrases_bring_words_of_first_occurrences_only_and_shuffle_texts_once(spark, monkeypatch, shard):
+    monkeypatch.setattr(phrase_dedup, "SHARD", shard)
+    monkeypatch.setattr(phrase_dedup, "BROADCAST_BYTES", 0)
+    written = []
+    cut = phrase_dedup.cut_lineage
+    monkeypatch.setattr(phrase_dedup, "cut_lineage", lambda df: (written.append(cut(df)), written[-1])[1])
+    passage, common = prose(11, 200), " ".join(["go", "on"] * 12)
+    texts = [prose(100 + i, 15 + i) + " " + passage + " " + prose(200 + i, 30) for i in range(12)]
+    texts += [prose(300 + i, 10, 3) + f" own{i} " + common + " " + prose(400 + i, 60, 2) for i in range(12)]
+    texts += [passage] * 30 + [prose(500, 300, 2), prose(500, 300, 2) + " more", None, ""]
+    rows = [(3 * i % 71, t, "en", "src", 1, "", "", 1, 1, 1) for i, t in enumerate(texts)]
+    rows += [rows[0], (None, texts[1], "en", "src", 1, "", "", 1, 1, 1)]
+    found = phrase_dedup.dedupe_phrases(frame(spark, rows)).drop("kept")
+    texts = {-1 if d is None else d: t for d, t in different(rows).items()}
+    later = later_places(texts, plain, 20)
+    for doc, (n, removed, digest) in grouped((-1 if r[0] is None else r[0], *r[1:]) for r in found.collect()).items():
+        kept = without(plain(texts[doc]), later[doc], 20)
+        assert (n, removed) == (len(plain(texts[doc])), len(plain(texts[doc])) - len(kept))
+        assert digest == hashlib.sha256(" ".join(kept).encode()).hexdigest()
+    # stretches are written without their words; those of equal words are looked at once
+    assert not any("words" in df.columns for df in written)
+    assert written[0].filter("anchor IS NOT NULL").count() < written[0].filter("anchor IS NULL").count()
+    assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_lines(spark):
     found = line_dedup.dedupe_lines(frame(spark))
     assert found.columns[-2:] == ["n_lines", "n_removed"] and "_key" not in found.columns
