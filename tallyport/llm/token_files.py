@@ -24,14 +24,17 @@ from __future__ import annotations
 
 import io
 import json
+import os
 import re
 import struct
 import uuid
 import zlib
-from itertools import chain
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
@@ -48,12 +51,17 @@ FRAME_BYTES = 1 << 18
 LEVEL = 3
 #: ids of repeated texts a task remembers
 MEMO_IDS = 4_000_000
-#: pieces of texts a worker remembers, and the longest of them in characters
+#: characters of the texts that are encoded together
+SLICE_CHARS = 2_000_000
+#: pieces of texts a worker remembers at least before it forgets those it did not see again, and the longest of them in characters
 MEMO_PIECES = 400_000
 LONGEST_PIECE = 64
-# Characters that no definition of white space includes, and blanks between two of them.
+#: pieces that go through the tokenizer as one text
+JOINED = 100
+# Characters that no definition of white space includes; cuts before single blanks and line breaks between two of them.
 _INK = "!-~\u00a1-\u167f\u2010-\u2027\u2030-\u205e\u2070-\u2fff\u3001-\ud7ff\U00010000-\U0010ffff"
-_CUT = re.compile(f" (?<=[{_INK}] )(?=[{_INK}])")
+_CUT = re.compile(f"(?<=[{_INK}])(?=[ \n][{_INK}])")
+_PLAIN = re.compile(f"[ \n]?[{_INK}]+")
 _INDEX_ROW = struct.Struct("<qBIII")
 _SEEK_ROW = struct.Struct("<III")
 
@@ -61,24 +69,27 @@ _tokenizers: dict[str, object] = {}
 
 
 def tokenizer(path: str):
-    """The tokenizer of a vocabulary file, loaded once per worker."""
+    """The tokenizer of a vocabulary file, loaded once per worker; without threads of its own, as a task has one core."""
     if path not in _tokenizers:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         _tokenizers[path] = Tokenizer.from_file(path)
     return _tokenizers[path]
 
 
-_pieces: dict[str, dict[str, bytes]] = {}
+#: by vocabulary: ids of pieces, and those of the generation before, from which pieces that are seen again come back
+_pieces: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
 _cuttable: dict[str, bool] = {}
+_openings: dict[str, np.ndarray] = {}
 
 
 def cuttable(path: str) -> bool:
     """Whether a text's ids are those of its pieces (``_CUT``), one after another.
 
-    So it is for byte-level BPE with that pre-tokenizer's own pattern: no part of it goes on into a single blank or
-    looks past one, so a part always begins at a single blank, and merges stay within a part. Nothing before (a
-    normalizer, added tokens with blanks) or after it may see more than a part.
+    So it is for byte-level BPE with that pre-tokenizer's own pattern: no part of it goes on from ink into a blank or line
+    break or looks past the ink after one, so a part always begins there, and merges stay within a part. Nothing before
+    (a normalizer, added tokens with blanks) or after it may see more than a part.
     """
     if path not in _cuttable:
         spec = json.loads(tokenizer(path).to_str())
@@ -92,26 +103,78 @@ def cuttable(path: str) -> bool:
     return _cuttable[path]
 
 
-def _encoded(texts: list[str], path: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit integers; the tokenizer sees a piece once per worker, if it can."""
-    def batch(some: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in tokenizer(path).encode_batch(some, add_special_tokens=False)]
+def _ids(texts: list[str], path: str) -> list[bytes]:
+    """Ids of each text as little-endian unsigned 32-bit integers."""
+    return [np.asarray(e.ids, "<u4").tobytes() for e in tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+
+
+def _opening(path: str) -> np.ndarray:
+    """Whether a token, by id, begins with a blank or a line break; byte-level vocabularies write them as below."""
+    if path not in _openings:
+        tokens = tokenizer(path).get_vocab(with_added_tokens=True)
+        _openings[path] = np.zeros(max(tokens.values()) + 1, bool)
+        _openings[path][[i for token, i in tokens.items() if token[:1] in ("\u0120", "\u010a")]] = True
+    return _openings[path]
+
+
+def _ids_of_pieces(pieces: list[str], path: str) -> list[bytes]:
+    """As ``_ids``, for pieces of ink behind one blank or line break: many go as one text, cut where a token begins with these."""
+    if len(pieces) < JOINED:
+        return _ids(pieces, path)
+    groups = [pieces[i:i + JOINED] for i in range(0, len(pieces), JOINED)]
+    out = []
+    for group, raw in zip(groups, _ids(["".join(g) for g in groups], path)):
+        starts = np.flatnonzero(_opening(path)[np.frombuffer(raw, "<u4")])
+        if len(starts) != len(group) or starts[0]:  # an odd vocabulary
+            out += _ids(group, path)
+            continue
+        bounds = [*(4 * starts).tolist(), len(raw)]
+        out += [raw[i:j] for i, j in zip(bounds, bounds[1:])]
+    return out
 
+
+def _encoded(texts: list[str], path: str) -> list[bytes]:
+    """Ids of each text; the tokenizer sees a piece once per worker, if it can and as long as the piece is remembered."""
     if not cuttable(path):
-        return batch(texts)
-    known = _pieces.setdefault(path, {})
+        return _ids(texts, path)
+    known, before = _pieces.setdefault(path, ({}, {}))
     if len(known) > MEMO_PIECES:  # only a memo: what is forgotten is encoded again
-        known.clear()
-    cut = []
-    for text in texts:
-        first, *others = _CUT.split(text)
-        cut.append([first, *[" " + other for other in others]])
-    fresh = [p for p in set(chain.from_iterable(cut)) if p not in known]
-    known.update(zip(fresh, batch(fresh)))
-    out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
-    for piece in fresh:
-        if len(piece) > LONGEST_PIECE:
-            del known[piece]
+        known, before = _pieces[path] = {}, known
+    # a cut before every blank and line break is right if all pieces are plain; what is known without NUL is plain
+    marked = ["\0\0" if "\0" in t else t.replace(" ", "\0 ").replace("\n", "\0\n") for t in texts]
+    cut = pc.split_pattern(pa.array(marked, pa.large_string()), "\0")
+    pieces = cut.values.dictionary_encode()
+    which, ends = pieces.indices.to_numpy(), cut.offsets.to_numpy()
+    different = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+    ids = list(map(known.get, different))
+    gaps = [i for i, v in enumerate(ids) if v is None]
+    missing = {different[i] for i in gaps if _PLAIN.fullmatch(different[i])}
+    # texts with other pieces are cut again with care; their pieces that are not plain have NUL before them
+    odd = np.zeros(len(different), bool)
+    odd[[i for i in gaps if different[i] not in missing]] = True
+    again = np.unique(np.searchsorted(ends, np.flatnonzero(odd[which]), "right") - 1).tolist()
+    careful = {i: [p if _PLAIN.fullmatch(p) else "\0" + p for p in _CUT.split(texts[i])] for i in again}
+    missing.update(p for some in careful.values() for p in some if p not in known)
+    fresh = {p: before[p] for p in missing if p in before}
+    missing.difference_update(fresh)
+    others = [p for p in missing if p[0] not in " \n"]
+    joinable = list(missing.difference(others))
+    fresh.update(zip(joinable, _ids_of_pieces(joinable, path)))
+    fresh.update(zip(others, _ids([p.removeprefix("\0") for p in others], path)))
+    for i in gaps:
+        ids[i] = fresh.get(different[i], b"")  # none for the odd ones, whose texts come below
+    table = np.frombuffer(b"".join(ids), "<u4")
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    begin, n = (np.cumsum(size) - size)[which], size[which]
+    at = np.concatenate([[0], np.cumsum(n)])
+    whole = table[np.repeat(begin - at[:-1], n) + np.arange(at[-1])]
+    bounds = at[ends].tolist()
+    out = [whole[i:j].tobytes() for i, j in zip(bounds, bounds[1:])]
+    for i, some in careful.items():
+        out[i] = b"".join([fresh[p] if p in fresh else known[p] for p in some])
+    known.update(fresh)
+    for piece in [p for p in fresh if len(p) > LONGEST_PIECE]:
+        del known[piece]
     return out
 
 
@@ -137,6 +200,16 @@ def encode(texts: list[str | None], path: str, end_id: int, memo: Memo | None =
     return [memo[k] for k in keys]
 
 
+def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Places of texts in a row, up to ``SLICE_CHARS`` and one text more."""
+    start = held = 0
+    for i, text in enumerate(texts):
+        held += len(text or "") + 1
+        if held > SLICE_CHARS or i + 1 == len(texts):
+            yield start, i + 1
+            start, held = i + 1, 0
+
+
 class TokenWriter:
     """Writes documents to a binary stream as they come; keeps only the index and the seek table in memory."""
 
@@ -244,11 +317,11 @@ def _writer(folder: str, path: str, end_id: int, frame_bytes: int):
             memo = Memo()
             for frame in frames:
                 texts, keys = frame["text"].tolist(), frame["doc_id"].tolist()
-                for start in range(0, len(texts), 256):
+                for start, end in _slices(texts):
                     if memo.held > MEMO_IDS:  # only a memo: what is forgotten is encoded again
                         memo.clear()
                         memo.held = 0
-                    for key, ids in zip(keys[start:start + 256], encode(texts[start:start + 256], path, end_id, memo)):
+                    for key, ids in zip(keys[start:end], encode(texts[start:end], path, end_id, memo)):
                         writer.add(None if pd.isna(key) else int(key), ids)
                         docs, n_ids = docs + 1, n_ids + len(ids)
             writer.finish()
@@ -298,6 +371,20 @@ def _reader(folder: str):
     return run
 
 
+def _counter(folder: str):
+    """Ids per file, by its document index; no frame is decompressed."""
+    def run(frames):
+        fs, base = _filesystem(folder)
+        for frame in frames:
+            counts = []
+            for name in frame["name"]:
+                with fs.open_input_file(f"{base}/{name}") as f:
+                    counts.append(sum(n for *_, n in layout(f.read())[1]))
+            yield pd.DataFrame({"part": frame["part"], "n": counts}).astype({"part": "int32", "n": "int64"})
+
+    return run
+
+
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Per document of the files under ``folder``: doc_id, start (ids of all documents before it, over the files in
     order), n_tokens and the unsigned crc32 of its ids as little-endian 32-bit integers; one task per file."""
@@ -305,11 +392,12 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     fs.create_dir(base, recursive=True)
     listed = sorted(i.base_name for i in fs.get_file_info(pafs.FileSelector(base)) if i.base_name.endswith(".tok"))
     names = spark.createDataFrame([(n, int(n[5:10])) for n in listed], "name string, part int")
-    read = names.repartition(max(1, len(listed)), "name").mapInPandas(
+    dealt = names.repartition(max(1, len(listed)), "name")
+    read = dealt.mapInPandas(
         _reader(folder), "doc_id long, part int, local_start long, n_tokens long, ids_crc32 long")
     # a running total over one row per file, so one task holds them all
     running = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sizes = read.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    sizes = dealt.mapInPandas(_counter(folder), "part int, n long")
     before = sizes.select("part", (F.sum("n").over(running) - F.col("n")).alias("base"))
     return read.join(F.broadcast(before), "part").select(
         "doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32", "part")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -156,6 +157,39 @@ def test_pieces_give_the_ids_of_whole_texts_and_are_encoded_once(monkeypatch, tm
     assert not token_files.cuttable(spec) and token_files.cuttable(vocabulary())
 
 
+@pytest.mark.parametrize("openings", [True, False])
+def test_many_pieces_go_through_the_tokenizer_together(monkeypatch, openings):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(vocabulary())
+    seen = []
+
+    class Counting:
+        def encode_batch(self, some, **rest):
+            seen.extend(some)
+            return tok.encode_batch(some, **rest)
+
+        def to_str(self):
+            return tok.to_str()
+
+        def get_vocab(self, **rest):
+            return tok.get_vocab(**rest) if openings else {"a": tok.get_vocab_size() - 1}
+
+    monkeypatch.setitem(token_files._tokenizers, f"many {openings}", Counting())
+    monkeypatch.setattr(token_files, "MEMO_PIECES", 2000)
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choice("abcdéß漢😀.,'<|") for _ in range(draw.randint(1, 9)))
+    words = [word() for _ in range(3000)] + ["<|endoftext|>", "\u0120a", "\u010a", "x\0y", "", "\t", "\u00a0", "z" * 90]
+    texts = ["".join(draw.choice(words) + draw.choice([" ", " ", " ", "\n"]) for _ in range(200)) for _ in range(40)]
+    texts += ["\n".join(words[:3000]), " ".join(words[:3000]), "x\0y", "x", " y", "x\t y", "x\t", "\n", " ", ""]
+    for start in range(0, len(texts), 10):
+        for text, ids in zip(texts[start:start + 10], token_files.encode(texts[start:start + 10], f"many {openings}", 0)):
+            assert ids.tolist() == tok.encode(text, add_special_tokens=False).ids + [0]
+    if openings:
+        different = {p for t in texts for p in re.findall(r"\s?\S+", t)}
+        assert len(seen) < len(different) / 3
+
+
 def test_token_files_of_an_empty_table(spark, tmp_path):
     empty = spark.createDataFrame([], "doc_id long, text string")
     folder = str(tmp_path / "none")
