@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyport.llm.words import WordHashes, plain_words, signed, span_hashes, utf8, window_hashes
+from tallyport.llm.words import WordHashes, mixed, plain_words, signed, span_hashes, utf8, window_hashes
 
 
 def place() -> Column:
@@ -92,30 +92,47 @@ def recurring_anchors(docs: DataFrame, window: int, k: int) -> DataFrame:
     return ordered.mapInArrow(recur, "key bigint, number int").groupBy("key").agg(F.collect_set("number").alias("places"))
 
 
-def recurring_stretches(docs: DataFrame, window: int, k: int) -> DataFrame:
-    """``key``, ``start`` and ``size`` (windows) of stretches that may hold a repeated window; ``docs`` as from ``keyed``.
+def stretches(docs: DataFrame, window: int, k: int) -> DataFrame:
+    """``anchor``, ``stretch`` (hash of its words), ``doc_id``, ``key``, ``start`` and ``size`` (windows) of all stretches of ``docs``.
 
-    Those whose words start earlier in another stretch have no ``anchor``. The others are the first of their words, and
-    another stretch of different words has their ``anchor``. Earlier is what is smaller by ``doc_id``, ``key`` and ``start``.
-    Stretches come sorted by anchor; a task holds two rows over from batch to batch, never a group.
+    If a stretch of the same words is among the texts of one slice of a batch before it, its ``size`` is negative and a value
+    of its own stands for the anchor, so that a passage or word pair of very many texts does not meet in one place.
     """
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
         for batch in batches:
-            keys, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-            for begin in range(0, len(keys), 500):
+            for begin in range(0, batch.num_rows, 500):
+                part = batch.slice(begin, 500)
+                texts = dict(zip(zip(part.column(1).to_pylist(), part.column(0).to_pylist()), utf8(part.column(2))))
                 out: list[list[np.ndarray]] = [[] for _ in range(6)]
-                for key, doc, text in zip(keys[begin:begin + 500], ids[begin:begin + 500], utf8(batch.column(2).slice(begin, 500))):
-                    hashes = memo.of(plain_words(text))
+                for doc, key in sorted(texts):
+                    hashes = memo.of(plain_words(texts[doc, key]))
                     at, first, size = anchor_starts(hashes, window, k)
                     if len(at):
-                        row = (signed(window_hashes(hashes, k)[at]), signed(span_hashes(hashes, first, size + window - 1)), np.full(len(at), doc),
+                        row = (window_hashes(hashes, k)[at], span_hashes(hashes, first, size + window - 1), np.full(len(at), doc),
                                np.full(len(at), key), first.astype(np.int32), size.astype(np.int32))
                         for column, values in zip(out, row):
                             column.append(values)
                 if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["anchor", "stretch", "doc_id", "key", "start", "size"])
+                    anchor, stretch, doc, key, start, size = map(np.concatenate, out)
+                    later = np.ones(len(stretch), bool)
+                    later[np.unique(stretch, return_index=True)[1]] = False
+                    size[later] *= -1
+                    anchor[later] = mixed(mixed(key[later].view(np.uint64)) + start[later].astype(np.uint64))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c) for c in (signed(anchor), signed(stretch), doc, key, start, size)],
+                        ["anchor", "stretch", "doc_id", "key", "start", "size"])
+
+    return docs.select("key", "doc_id", "text").mapInArrow(find, "anchor bigint, stretch bigint, doc_id bigint, key bigint, start int, size int")
 
+
+def recurring_stretches(docs: DataFrame, window: int, k: int) -> DataFrame:
+    """``key``, ``start`` and ``size`` (windows) of stretches that may hold a repeated window; ``docs`` as from ``keyed``.
+
+    Those whose words start earlier in another stretch have no ``anchor``. The others are the first of their words, and
+    another stretch of different words has their ``anchor``. Earlier is what is smaller by ``doc_id``, ``key`` and ``start``.
+    Stretches come sorted by anchor; a task holds two rows over from batch to batch, never a group.
+    """
     def told(columns: list[np.ndarray], rows: np.ndarray, first: bool) -> pa.RecordBatch:
         anchor, _, _, key, start, size = (c[rows] for c in columns)
         return pa.RecordBatch.from_arrays(
@@ -127,6 +144,11 @@ def recurring_stretches(docs: DataFrame, window: int, k: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+            sure = columns[5] < 0
+            yield told([*columns[:5], -columns[5]], np.flatnonzero(sure), False)
+            if sure.all():
+                continue
+            columns = [c[~sure] for c in columns]
             before = [np.concatenate([c[:1] if last is None else l, c[:-1]]) for c, l in zip(columns, last or columns)]
             changed = [c != b for c, b in zip(columns[:5], before)]
             for flags in changed:
@@ -144,6 +166,5 @@ def recurring_stretches(docs: DataFrame, window: int, k: int) -> DataFrame:
             yield told(firsts, np.flatnonzero(keep), True)
             last = [c[-1:] for c in columns]
 
-    found = docs.select("key", "doc_id", "text").mapInArrow(find, "anchor bigint, stretch bigint, doc_id bigint, key bigint, start int, size int")
-    ordered = found.repartition("anchor").sortWithinPartitions("anchor", "stretch", "doc_id", "key", "start")
+    ordered = stretches(docs, window, k).repartition("anchor").sortWithinPartitions("anchor", "stretch", "doc_id", "key", "start")
     return ordered.mapInArrow(recur, "key bigint, start int, size int, anchor bigint")

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tallyport.llm import decontaminate, hamming_search, jaccard_join, licenses, line_dedup, phrase_dedup, secrets, suffix_dedup
+from tallyport.llm import decontaminate, hamming_search, jaccard_join, licenses, line_dedup, phrase_dedup, recurrence, secrets, suffix_dedup
 from tallyport.llm.components import components
 from tests.llm.samples import different, documents, folded, frame, plain, prose
 
@@ -79,6 +79,16 @@ def test_phrases_bring_words_of_first_occurrences_only_and_shuffle_texts_once(sp
     assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_stretches_of_a_common_word_pair_do_not_meet_in_one_place(spark):
+    rows = [(i, prose(600 + i, 30) + " " + " ".join(["go", "on"] * 40), "en", "src", 1, "", "", 1, 1, 1) for i in range(200)]
+    found = recurrence.stretches(recurrence.keyed(frame(spark, rows + rows[:50]).coalesce(2)), 20, 6)
+    groups = [r["count"] for r in found.groupBy("anchor").count().collect()]
+    assert sum(groups) > 5000 and max(groups) < sum(groups) / 10
+    kept = {r.doc_id: r.n_words - r.n_removed for r in phrase_dedup.dedupe_phrases(frame(spark, rows)).collect()}
+    later = later_places(different(rows), plain, 20)
+    assert kept == {r[0]: len(without(plain(r[1]), later[r[0]], 20)) for r in rows}
+
+
 def test_lines(spark):
     found = line_dedup.dedupe_lines(frame(spark))
     assert found.columns[-2:] == ["n_lines", "n_removed"] and "_key" not in found.columns
