@@ -111,7 +111,7 @@ def mix(docs: DataFrame, share: float = 1.5, limit: float = 2.0, weights=WEIGHTS
     sizes = cut_lineage(narrow)
     total = sizes.count()
     depth = max(0, math.ceil(math.log(max(1, total / _DIGIT), _DIGIT)))
-    targets = source_targets(sizes, share, limit, weights)
+    targets = cut_lineage(source_targets(sizes, share, limit, weights))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     dealt = (
         sizes.withColumnRenamed("source", "_s").join(targets, F.col("_s").eqNullSafe(F.col("source"))).drop("_s")
@@ -130,7 +130,8 @@ def mix(docs: DataFrame, share: float = 1.5, limit: float = 2.0, weights=WEIGHTS
     parts = []
     for level in range(depth, -2, -1):
         keys = [source, F.col("item.step"), digits % (_DIGIT ** level)] if level >= 0 else [source]
-        settled = _level(items, keys, seed + level)
+        # written, so that a level is settled once and no plan holds the levels before it
+        settled = cut_lineage(_level(items, keys, seed + level))
         parts.append(settled.select(F.explode("done").alias("d")).select("d.*"))
         items = settled.filter("open IS NOT NULL").select(F.col("open").alias("item"))
     last = items.select(

@@ -133,6 +133,11 @@ def test_mixing_nothing(spark):
     assert sorted((r.doc_id, r.size, r.target, r.taken) for r in mixing.mix(frame(spark, empty)).collect()) == [(1, 0, 0.0, 0), (2, 0, 0.0, 0)]
 
 
+def test_no_plan_of_mixing_holds_the_settling_of_a_level(spark):
+    mixed = mixing.mix(frame(spark, [(i, "a b c " * (i % 7), "en", "s", 1, "", "", 1, 1, 1) for i in range(90)]))
+    assert "collect_list" not in mixed._jdf.queryExecution().toString()
+
+
 @pytest.fixture(scope="module")
 def corpus(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("corpus"))
